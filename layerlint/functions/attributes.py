@@ -34,14 +34,26 @@ _VARIANT_KINDS = {
 
 @dataclass(frozen=True)
 class Attribute:
-    """``kind`` is one of undefined, null, string, number, boolean, date, array, object; ``text`` is the value as text."""
+    """``kind`` is one of undefined, null, string, number, boolean, date, array, object; ``text`` is the value as text.
+
+    ``declared`` is the kind of all non-null values where the column type fixes it; kind tests are then null tests.
+    """
 
     kind: Column
     text: Column
+    declared: str | None = None
+
+    def is_a(self, *kinds: str) -> Column:
+        if self.declared is None:
+            return self.kind.isin(*kinds)
+        value, null = self.declared in kinds, "null" in kinds
+        if self.declared == "undefined" or value == null:
+            return F.lit(value)
+        return self.text.isNotNull() if value else self.text.isNull()
 
 
 def missing() -> Attribute:
-    return Attribute(F.lit("undefined"), F.lit(None).cast("string"))
+    return Attribute(F.lit("undefined"), F.lit(None).cast("string"), "undefined")
 
 
 def from_typed(column: Column, data_type: T.DataType) -> Attribute:
@@ -55,7 +67,7 @@ def from_typed(column: Column, data_type: T.DataType) -> Attribute:
     else:
         kind = "string"
     text = column if isinstance(data_type, T.StringType) else column.cast("string")
-    return Attribute(F.when(column.isNull(), "null").otherwise(kind), text)
+    return Attribute(F.when(column.isNull(), "null").otherwise(kind), text, kind)
 
 
 def from_map(column: Column, name: str) -> Attribute:

@@ -24,10 +24,11 @@ def is_polygonal(geometry: Column) -> Column:
     coordinates = geometry["coordinates"]
 
     def sound(position: Column) -> Column:
-        return F.size(position).between(2, 3) & F.forall(position, lambda number: number.isNotNull())
+        numbers = F.size(position)
+        third = (numbers == 2) | F.get(position, 2).isNotNull()
+        return numbers.between(2, 3) & F.get(position, 0).isNotNull() & F.get(position, 1).isNotNull() & third
 
-    sound_positions = F.forall(
-        coordinates, lambda member: F.forall(member, lambda ring: F.forall(ring, sound))
-    )
+    # a NULL member or ring makes the flattened list NULL
+    sound_positions = F.forall(F.flatten(F.flatten(coordinates)), sound)
     members = F.when(geometry["type"] == "Polygon", F.size(coordinates) == 1).otherwise(geometry["type"] == "MultiPolygon")
     return F.coalesce(geometry.isNotNull() & members & sound_positions, F.lit(False))

@@ -7,8 +7,7 @@ from pyspark.sql import Column, functions as F
 from layerlint.functions.attributes import Attribute
 
 # Spark's own casts accept more than we want ('1d', 'inf', a bare time), so texts are matched first.
-NUMBER_PATTERN = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
-INFINITE_PATTERN = r"^[+-]?Infinity$"
+NUMBER_PATTERN = r"^\s*([+-]?(Infinity|(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?))?\s*$"
 DAY_FIRST_PATTERN = r"^\d{2}/\d{2}/\d{4}$"
 ISO_PATTERN = r"^\d{4}(-\d{2}(-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:\d{2})?)?)?)?$"
 # Largest distance from the epoch a date may have, in milliseconds.
@@ -38,36 +37,31 @@ def attribute_date(attribute: Attribute) -> Column:
     """Date of an attribute: null counts as the epoch, a number as milliseconds since then."""
     millis = attribute.text.try_cast("double")
     return (
-        F.when(attribute.kind == "null", F.timestamp_millis(F.lit(0)))
+        F.when(attribute.is_a("null"), F.timestamp_millis(F.lit(0)))
         .when(
-            (attribute.kind == "number") & (F.abs(millis) <= MAX_EPOCH_MILLIS),
+            (attribute.is_a("number")) & (F.abs(millis) <= MAX_EPOCH_MILLIS),
             F.timestamp_millis(millis.try_cast("bigint")),
         )
-        .when(attribute.kind == "boolean", F.timestamp_millis((attribute.text == "true").cast("bigint")))
-        .when(attribute.kind == "date", attribute.text.try_cast("timestamp"))
-        .when(attribute.kind == "string", flexible_date(attribute.text))
+        .when(attribute.is_a("boolean"), F.timestamp_millis((attribute.text == "true").cast("bigint")))
+        .when(attribute.is_a("date"), attribute.text.try_cast("timestamp"))
+        .when(attribute.is_a("string"), flexible_date(attribute.text))
     )
 
 
 def text_number(text: Column) -> Column:
-    """Text to double; blank text counts as 0."""
-    stripped = strip(text)
-    return (
-        F.when(stripped == "", F.lit(0.0))
-        .when(stripped.rlike(NUMBER_PATTERN), stripped.try_cast("double"))
-        .when(stripped.rlike(INFINITE_PATTERN), F.when(stripped.startswith("-"), F.lit(float("-inf"))).otherwise(F.lit(float("inf"))))
-    )
+    """Text to double; blank text counts as 0. The cast trims white space and cannot read blank text."""
+    return F.when(text.rlike(NUMBER_PATTERN), F.coalesce(text.try_cast("double"), F.lit(0.0)))
 
 
 def attribute_number(attribute: Attribute) -> Column:
     """Number of an attribute: null counts as 0, a missing one is no number."""
     return (
-        F.when(attribute.kind == "null", F.lit(0.0))
-        .when(attribute.kind == "number", attribute.text.try_cast("double"))
-        .when(attribute.kind == "boolean", (attribute.text == "true").cast("double"))
-        .when(attribute.kind == "string", text_number(attribute.text))
+        F.when(attribute.is_a("null"), F.lit(0.0))
+        .when(attribute.is_a("number"), attribute.text.try_cast("double"))
+        .when(attribute.is_a("boolean"), (attribute.text == "true").cast("double"))
+        .when(attribute.is_a("string"), text_number(attribute.text))
     )
 
 
 def optional_text(attribute: Attribute) -> Column:
-    return F.when(attribute.kind == "string", attribute.text)
+    return F.when(attribute.is_a("string"), attribute.text)

@@ -12,7 +12,7 @@ from layerlint.functions.attributes import Attribute
 
 def feature_id(attribute: Attribute) -> Column:
     """The id attribute if it is a text, else the placeholder id."""
-    return F.when(attribute.kind == "string", attribute.text).otherwise(F.lit(K.UNKNOWN_ID))
+    return F.when(attribute.is_a("string"), attribute.text).otherwise(F.lit(K.UNKNOWN_ID))
 
 
 def format_issues(issues: Column) -> Column:

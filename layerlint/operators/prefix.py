@@ -41,7 +41,11 @@ def running(
 ) -> DataFrame:
     """Running sums and maxima along ``order`` (unique inside a key), as ``{new column: source column}``."""
     sums, maxima = sums or {}, maxima or {}
-    keyed = rows.withColumn(_BLOCK, block)
+    # One shuffle by key and block serves both the rows and the block totals: the block is computed from ``order`` above it,
+    # so both sides read the same columns and the engine reuses the exchange.
+    # A block that cannot be NULL keeps the join from adding a filter to one side only.
+    block = F.coalesce(block, F.lit(0))
+    keyed = rows.repartition(*[F.col(k) for k in keys], block).withColumn(_BLOCK, block)
     until_here = Window.partitionBy(*keys, _BLOCK).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     earlier = Window.partitionBy(*keys).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     totals = keyed.groupBy(*keys, _BLOCK).agg(

@@ -15,9 +15,7 @@ from layerlint import constants as K
 from layerlint.config import LIMITS, Bounds, Limits
 from layerlint.functions.attributes import Attribute, attributes_of
 from layerlint.functions.geometry import is_polygonal
-from layerlint.functions.parsing import (
-    attribute_date, attribute_number, optional_text, parse_csv_list,
-)
+from layerlint.functions.parsing import attribute_date, attribute_number, optional_text, parse_csv_list
 from layerlint.functions.text import any_of, feature_id, format_issues
 
 ISSUE_TYPE = "array<struct<path:string,message:string,code:string>>"
@@ -42,7 +40,7 @@ def _number_text(value: float) -> str:
 
 
 def _wrong_type(attribute: Attribute, path: str, allowed: list[str]) -> list[Rule]:
-    wrong = ~attribute.kind.isin(*allowed)
+    wrong = ~attribute.is_a(*allowed)
     message = F.when(attribute.kind == "undefined", F.lit("Required")).otherwise(
         F.concat(F.lit("Expected string, received "), attribute.kind)
     )
@@ -62,12 +60,11 @@ def csv_list(attribute: Attribute, path: str) -> list[Rule]:
     return _wrong_type(attribute, path, ["string", "null"])
 
 
-def valid_date(attribute: Attribute, path: str) -> list[Rule]:
-    return [Rule(attribute_date(attribute).isNull(), path, F.lit(K.DATE_MESSAGE), "invalid_date")]
+def valid_date(date: Column, path: str) -> list[Rule]:
+    return [Rule(date.isNull(), path, F.lit(K.DATE_MESSAGE), "invalid_date")]
 
 
-def bounded_number(attribute: Attribute, path: str, label: str, low: float, high: float) -> list[Rule]:
-    number = attribute_number(attribute)
+def bounded_number(number: Column, path: str, label: str, low: float, high: float) -> list[Rule]:
     return [
         Rule(number.isNull(), path, F.lit(f"{label} should be a number"), "invalid_type"),
         Rule(F.coalesce(number < low, F.lit(False)), path,
@@ -77,37 +74,52 @@ def bounded_number(attribute: Attribute, path: str, label: str, low: float, high
     ]
 
 
-def optional_scale(attribute: Attribute, path: str) -> list[Rule]:
-    number = attribute_number(attribute)
-    given = ~attribute.kind.isin("null", "undefined")
+def optional_scale(attribute: Attribute, number: Column, path: str) -> list[Rule]:
+    given = ~attribute.is_a("null", "undefined")
     return [
         Rule(given & number.isNull(), path, F.lit("Expected number, received nan"), "invalid_type"),
         Rule(given & F.coalesce(number < 1, F.lit(False)), path, F.lit(K.SCALE_MESSAGE), "too_small"),
     ]
 
 
+# Readings of attributes that several rules or the mapped table use. They are columns of their own below the rules, so the
+# text is matched and cast once per row however often the value is looked at.
+PARSED = {
+    "updateDate": "__update_date", "sourceRes": "__source_res", "ep90": "__ep90", "publishRes": "__publish_res", "scale": "__scale",
+}
+
+
+def with_parsed(features: DataFrame) -> DataFrame:
+    """Add the date and number readings."""
+    attributes = attributes_of(features)
+    return features.withColumns({
+        column: (attribute_date if name == "updateDate" else attribute_number)(attributes[name]) for name, column in PARSED.items()
+    })
+
+
 def property_rules(attributes: dict[str, Attribute], bounds: Bounds) -> list[Rule]:
-    """Rules of all attributes, in schema order."""
+    """Rules of all attributes of a frame with readings, in schema order."""
 
     def path(name: str) -> str:
         return f"properties.{name}"
 
     a = attributes
+    v = {name: F.col(column) for name, column in PARSED.items()}
     resolution = (bounds.resolution_min, bounds.resolution_max)
     return [
         *required_string(a["id"], path("id")),
         *optional_string(a["sourceId"], path("sourceId")),
-        *valid_date(a["updateDate"], path("updateDate")),
+        *valid_date(v["updateDate"], path("updateDate")),
         *csv_list(a["sensors"], path("sensors")),
         *optional_string(a["desc"], path("desc")),
-        *bounded_number(a["sourceRes"], path("sourceRes"), "Source resolution meter", *resolution),
-        *bounded_number(a["ep90"], path("ep90"), "Horizontal accuracy CE90", bounds.ce90_min, bounds.ce90_max),
+        *bounded_number(v["sourceRes"], path("sourceRes"), "Source resolution meter", *resolution),
+        *bounded_number(v["ep90"], path("ep90"), "Horizontal accuracy CE90", bounds.ce90_min, bounds.ce90_max),
         *csv_list(a["cities"], path("cities")),
         *csv_list(a["countries"], path("countries")),
-        *bounded_number(a["publishRes"], path("publishRes"), "Publish resolution meter", *resolution),
+        *bounded_number(v["publishRes"], path("publishRes"), "Publish resolution meter", *resolution),
         *required_string(a["classify"], path("classify")),
         *required_string(a["sourceName"], path("sourceName")),
-        *optional_scale(a["scale"], path("scale")),
+        *optional_scale(a["scale"], v["scale"], path("scale")),
     ]
 
 
@@ -150,37 +162,47 @@ def feature_rules(features: DataFrame, limits: Limits = LIMITS) -> list[Rule]:
     ]
 
 
+def _checked(features: DataFrame, limits: Limits) -> tuple[DataFrame, list[Rule]]:
+    """Features with readings, key, ``skipped`` and ``broken``, and the rules over them."""
+    rules = feature_rules(features, limits)
+    checked = with_parsed(features).withColumns({
+        "feature_key": feature_id(attributes_of(features)["id"]),
+        "skipped": is_skipped(features, limits),
+        "broken": any_of([rule.broken for rule in rules]),
+    })
+    return checked, rules
+
+
 def metadata_issues(features: DataFrame, limits: Limits = LIMITS) -> DataFrame:
-    """Add ``issues``: every issue of the row, in schema order."""
-    return features.withColumn("issues", _issue_list(feature_rules(features, limits)))
+    """Add ``issues``: every issue of the row, in schema order. Rows that break no rule build no list."""
+    checked, rules = _checked(features, limits)
+    issues = F.when(F.col("broken"), _issue_list(rules)).otherwise(F.array().cast(ISSUE_TYPE))
+    return checked.withColumn("issues", issues).drop(*PARSED.values(), "feature_key", "skipped", "broken")
 
 
 def check_features(features: DataFrame, limits: Limits = LIMITS) -> DataFrame:
     """Add ``feature_key``, ``skipped`` and ``broken`` (some rule is broken) without building messages."""
-    return features.withColumns({
-        "feature_key": feature_id(attributes_of(features)["id"]),
-        "skipped": is_skipped(features, limits),
-        "broken": any_of([rule.broken for rule in feature_rules(features, limits)]),
-    })
+    return _checked(features, limits)[0].drop(*PARSED.values())
 
 
 def parse_properties(features: DataFrame) -> dict[str, Column]:
-    """Typed values of the attributes, NULL where absent or unreadable."""
+    """Typed values of the attributes of a frame with readings, NULL where absent or unreadable."""
     a = attributes_of(features)
+    v = {name: F.col(column) for name, column in PARSED.items()}
     return {
         "id": optional_text(a["id"]),
         "source_id": optional_text(a["sourceId"]),
-        "update_date": attribute_date(a["updateDate"]),
+        "update_date": v["updateDate"],
         "sensors": parse_csv_list(a["sensors"].text),
         "desc": optional_text(a["desc"]),
-        "source_res": attribute_number(a["sourceRes"]),
-        "ep90": attribute_number(a["ep90"]),
+        "source_res": v["sourceRes"],
+        "ep90": v["ep90"],
         "cities": parse_csv_list(a["cities"].text),
         "countries": parse_csv_list(a["countries"].text),
-        "publish_res": attribute_number(a["publishRes"]),
+        "publish_res": v["publishRes"],
         "classify": optional_text(a["classify"]),
         "source_name": optional_text(a["sourceName"]),
-        "scale": F.when(a["scale"].kind != "null", attribute_number(a["scale"])),
+        "scale": F.when(~a["scale"].is_a("null", "undefined"), v["scale"]),
     }
 
 
@@ -192,8 +214,7 @@ def split_over_limit(features: DataFrame, limits: Limits = LIMITS) -> tuple[Data
 
 def valid_features(features: DataFrame, limits: Limits = LIMITS) -> DataFrame:
     """Features within the vertex limit that break no rule."""
-    broken = any_of([rule.broken for rule in feature_rules(features, limits)])
-    return features.filter(~is_skipped(features, limits) & ~broken)
+    return check_features(features, limits).filter("not skipped and not broken").select(*features.columns)
 
 
 def feature_errors(features: DataFrame, limits: Limits = LIMITS) -> DataFrame:
@@ -202,8 +223,8 @@ def feature_errors(features: DataFrame, limits: Limits = LIMITS) -> DataFrame:
     Over-limit features come first in a chunk (phase 0): their metadata error, if any, then the vertices error. Metadata
     errors of the others follow (phase 1). Both kinds come out of one pass over the features.
     """
-    checked = metadata_issues(check_features(features, limits), limits)
-    broken_count = F.lit(f", limit: {limits.max_vertices}")
+    checked, rules = _checked(features, limits)
+    limit_text = F.lit(f", limit: {limits.max_vertices}")
     counted = F.when(F.col("vertices") > 0, F.col("vertices").cast("string")).otherwise("unknown")
 
     def error(item: int, error_type: str, message: Column) -> Column:
@@ -212,15 +233,16 @@ def feature_errors(features: DataFrame, limits: Limits = LIMITS) -> DataFrame:
             F.lit(item).cast("bigint").alias("item"), F.lit(error_type).alias("type"), F.lit(column).alias("column_name"), message.alias("message"),
         )
 
-    metadata = F.when(F.col("broken"), error(0, K.METADATA, format_issues(F.col("issues"))))
-    vertices = F.when(F.col("skipped"), error(1, K.VERTICES, F.concat(F.lit("result:"), counted, broken_count)))
+    metadata = F.when(F.col("broken"), error(0, K.METADATA, format_issues(_issue_list(rules))))
+    vertices = F.when(F.col("skipped"), error(1, K.VERTICES, F.concat(F.lit("result:"), counted, limit_text)))
     return (
-        checked.filter(F.col("broken") | F.col("skipped"))
-        .select(
+        checked.select(
             "job_id", "chunk_id", F.col("feature_key").alias("id"),
             F.when(F.col("skipped"), 0).otherwise(1).alias("phase"), "ordinal",
-            F.explode(F.array_compact(F.array(metadata, vertices))).alias("e"),
+            F.when(F.col("broken") | F.col("skipped"), F.array(metadata, vertices)).alias("found"),
         )
+        # the outer form keeps the engine from testing the list, and so every rule, once more in a filter below
+        .select("*", F.explode_outer("found").alias("e")).filter("e is not null")
         .select(
             "job_id", "chunk_id", "id", "phase", "ordinal", "e.item", "e.type", "e.column_name", "e.message",
             F.col("ordinal").alias("feature_ordinal"), F.lit(None).cast("boolean").alias("is_exceeded"),

@@ -16,6 +16,7 @@ from layerlint.functions.rounding import share_exceeds
 from layerlint.operators.errors import checker_counts
 from layerlint.operators.prefix import running
 from layerlint.operators.schema import check_features
+from layerlint.session import written
 
 # Chunks per block in ordered folds.
 CHUNK_BLOCK = 4096
@@ -220,7 +221,11 @@ def summary_document(summaries: DataFrame, jobs: DataFrame) -> DataFrame:
 
 
 def running_summary(chunks: DataFrame, totals: DataFrame, limits: Limits = LIMITS) -> DataFrame:
-    """Counters and thresholds after each chunk. ``totals`` gives ``total_features`` per job."""
+    """Counters and thresholds after each chunk. ``totals`` gives ``total_features`` per job.
+
+    The chunk table, a small part of the features, is stored once and then read by each running fold.
+    """
+    chunks = written(chunks, "chunks")
     counted = ["features", *K.COUNTERS, "holes"]
     steps = chunks.withColumn("res_step", F.col("resolution_exceeded").cast("int"))
     so_far = running(

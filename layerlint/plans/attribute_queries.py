@@ -83,7 +83,7 @@ def _coerce_number(t: Tables) -> DataFrame:
     resolution = (0.0185, 78271.52)
 
     def issue(column: str, name: str, label: str, low: float, high: float):
-        return _issue_text(schema.bounded_number(_string(column), f"properties.{name}", label, low, high))
+        return _issue_text(schema.bounded_number(attribute_number(_string(column)), f"properties.{name}", label, low, high))
 
     return t.numbered.select(
         "job_id", "ordinal", attribute_number(_string("publish_res")).alias("publish_res_number"),
@@ -105,8 +105,8 @@ SCALE = "case k % 5 when 0 then null when 1 then '0' when 2 then 'x1' when 3 the
 def _optional_scale(t: Tables) -> DataFrame:
     scale = _string("scale")
     return t.numbered.withColumn("scale", F.expr(SCALE)).select(
-        "job_id", "ordinal", F.when(scale.kind != "null", attribute_number(scale)).alias("scale_number"),
-        _issue_text(schema.optional_scale(scale, "properties.scale")).alias("scale_issue"),
+        "job_id", "ordinal", F.when(~scale.is_a("null"), attribute_number(scale)).alias("scale_number"),
+        _issue_text(schema.optional_scale(scale, attribute_number(scale), "properties.scale")).alias("scale_issue"),
     )
 
 

@@ -134,7 +134,7 @@ def _report_rows(t: Tables) -> DataFrame:
 @query("feature_verdicts", over_checked("""select job_id, count(*) as features, count(*) filter (where skipped) as vertices,
     count(*) filter (where issues <> '') as metadata, not (bool_or(skipped) or bool_or(issues <> '')) as is_valid from checked group by job_id"""))
 def _feature_verdicts(t: Tables) -> DataFrame:
-    return verdict.feature_verdicts(t.features)
+    return verdict.feature_verdicts(t.unnumbered)
 
 
 @query("small_geometries_exceeded", over('select job_id, "smallGeometries", features, small_geometries_exceeded from verdicts', CHUNKS))
@@ -235,7 +235,7 @@ RUNNING = f"""{CHUNKS},
 @query("running_summary", over(f"""select job_id, chunk_id, {SUMMARY_COUNTS_SQL}, holes, round("smallGeometries" * 100.0 / total, 2) > 5 as small_geometries_exceeded,
     coalesce(round(basis * 100.0 / total, 2) > 5, false) as small_holes_exceeded, resolution_exceeded from based""", RUNNING))
 def _running_summary(t: Tables) -> DataFrame:
-    return verdict.running_summary(_chunks(t), verdict.feature_stats(t.numbered))
+    return verdict.running_summary(_chunks(t), verdict.feature_stats(t.unnumbered))
 
 
 # --- chunks -------------------------------------------------------------------------------------
@@ -244,7 +244,7 @@ def _running_summary(t: Tables) -> DataFrame:
 @query("feature_stats", with_views("features", """select job_id, count(*) as total_features, cast(sum(vertices) as bigint) as total_vertices
     from features group by job_id"""))
 def _feature_stats(t: Tables) -> DataFrame:
-    return verdict.feature_stats(t.numbered)
+    return verdict.feature_stats(t.unnumbered)
 
 
 @query("empty_layers", """select c_custkey as job_id, 'layer has no features' as error from customer

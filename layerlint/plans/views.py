@@ -11,14 +11,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from layerlint.functions.geometry import polygon_from_envelope
 from layerlint.operators.prefix import number_rows
-from layerlint.session import prepare
+from layerlint.session import prepare, spread
 
 FEATURE_ORDER = [
     "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity", "l_discount", "l_tax", "l_shipdate", "l_returnflag",
     "l_linestatus",
 ]
-# Orders per block when the features of a job are numbered.
-ORDERS_PER_BLOCK = 1 << 20
+# Orders per block when the features of a job are numbered, as a power of two.
+ORDER_BLOCK_BITS = 20
 
 FEATURES = [
     "l_suppkey as job_id",
@@ -137,14 +137,24 @@ class Tables:
     @cached_property
     def numbered(self) -> DataFrame:
         """The features view: each job's rows numbered in file order."""
-        block = F.floor(F.col("l_orderkey") / ORDERS_PER_BLOCK)
+        block = F.shiftright("l_orderkey", ORDER_BLOCK_BITS)
         return number_rows(self.table("lineitem"), ["l_suppkey"], FEATURE_ORDER, block).selectExpr(*FEATURES)
 
+    @cached_property
+    def unnumbered(self) -> DataFrame:
+        """The features view without positions and chunks, for plans that need neither: no shuffle by job."""
+        columns = [c for c in FEATURES if not c.endswith((" as ordinal", " as chunk_id"))]
+        return self._with_constants(spread(self.table("lineitem")).selectExpr(*columns))
+
     @cached_property
     def features(self) -> DataFrame:
         """Features with the remaining attributes as constants."""
+        return self._with_constants(self.numbered)
+
+    @staticmethod
+    def _with_constants(features: DataFrame) -> DataFrame:
         zero, one = F.lit(0.0), F.lit(1.0)
-        return self.numbered.withColumns({
+        return features.withColumns({
             "type": F.lit("Feature"), "geometry": polygon_from_envelope(zero, zero, one, one), "classify": F.lit("C"),
             "cities": F.lit("c1, c2"), "countries": F.lit(None).cast("string"),
         })

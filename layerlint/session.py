@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SESSION_SETTINGS = {
     # timestamps are UTC everywhere
@@ -37,3 +37,22 @@ def shared_folder(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_folder(spark)}/layerlint/{name}-{uuid.uuid4().hex}"
+
+
+def written(rows: DataFrame, name: str) -> DataFrame:
+    """Rows stored in the shared folder and read back, for a small result that is looked at several times.
+
+    Unlike a cache it outlives lost executors, and unlike recomputing it costs the work below it once.
+    """
+    path = new_folder(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows of a scan in at least as many partitions as there are cores.
+
+    Only a table in too few file splits is shuffled; a table with enough of them is left as it is.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
