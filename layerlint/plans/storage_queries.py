@@ -62,7 +62,7 @@ def _absent_folders(t: Tables) -> DataFrame:
 
 
 def _report(t: Tables) -> DataFrame:
-    return errors.report_rows(t.features, _errors(t)).select(*REPORT_COLUMNS)
+    return errors.report_rows(t.stored.features, _errors(t)).select(*REPORT_COLUMNS)
 
 
 @query("write_report", over(REPORT_SQL))

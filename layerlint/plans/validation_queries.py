@@ -59,14 +59,17 @@ def over(body: str, base: str = ERRORS, names: str = VIEWS, recursive: bool = Fa
 
 
 def _errors(t: Tables) -> DataFrame:
+    t = t.stored
     return errors.all_errors(t.features, t.part_errors)
 
 
 def _chunks(t: Tables) -> DataFrame:
+    t = t.stored
     return verdict.chunk_counts(t.features, t.part_errors, t.chunk_holes)
 
 
 def _verdicts(t: Tables) -> DataFrame:
+    t = t.stored
     return verdict.job_verdicts(t.features, t.part_errors, t.chunk_holes)
 
 
@@ -75,13 +78,13 @@ def _verdicts(t: Tables) -> DataFrame:
 
 @query("attach_results", over("select job_id, chunk_id, id, item, code, feature_ordinal from matched", MATCHED))
 def _attach_results(t: Tables) -> DataFrame:
-    return errors.attach_results(t.part_errors, t.features).select("job_id", "chunk_id", "id", "item", "code", "feature_ordinal")
+    return errors.attach_results(t.stored.part_errors, t.stored.features).select("job_id", "chunk_id", "id", "item", "code", "feature_ordinal")
 
 
 @query("unmatched_results", over("""select job_id, chunk_id, id, item, code from part_errors e where not exists
     (select 1 from lookup l where e.job_id = l.job_id and e.chunk_id = l.chunk_id and e.id = l.id)""", MATCHED))
 def _unmatched_results(t: Tables) -> DataFrame:
-    return errors.unmatched_results(t.part_errors, t.features).select("job_id", "chunk_id", "id", "item", "code")
+    return errors.unmatched_results(t.stored.part_errors, t.stored.features).select("job_id", "chunk_id", "id", "item", "code")
 
 
 @query("dedupe_by_id", over_checked("""select job_id, chunk_id, feature_key as id, min(ordinal) as first_ordinal,
@@ -93,7 +96,7 @@ def _dedupe_by_id(t: Tables) -> DataFrame:
 @query("explode_errors", with_views("part_errors", """select job_id, chunk_id, cast(row_number() over (partition by job_id, chunk_id order by item) - 1 as integer) as part,
     0 as item, id, code, is_exceeded from part_errors"""))
 def _explode_errors(t: Tables) -> DataFrame:
-    nested = errors.nest_errors(t.part_errors, t.chunk_holes)
+    nested = errors.nest_errors(t.stored.part_errors, t.stored.chunk_holes)
     return errors.explode_errors(nested)
 
 
@@ -114,7 +117,7 @@ def _errors_by_feature(t: Tables) -> DataFrame:
 
 @query("res_exceed", over(f"select job_id, chunk_id, id, res_exceed from ({WIDE_SQL}) w where res_exceed is not null"))
 def _res_exceed(t: Tables) -> DataFrame:
-    wide = errors.errors_by_feature(errors.checker_errors(t.part_errors, t.features).unionByName(errors.feature_errors(t.features)))
+    wide = errors.errors_by_feature(_errors(t))
     return wide.filter("res_exceed is not null").select("job_id", "chunk_id", "id", "res_exceed")
 
 
@@ -125,7 +128,7 @@ REPORT_COLUMNS = ["job_id", "chunk_id", "error_id", "feature_ordinal", *K.REPORT
 
 @query("report_rows", over(REPORT_SQL))
 def _report_rows(t: Tables) -> DataFrame:
-    return errors.report_rows(t.features, _errors(t)).select(*REPORT_COLUMNS)
+    return errors.report_rows(t.stored.features, _errors(t)).select(*REPORT_COLUMNS)
 
 
 # --- verdict and summary ------------------------------------------------------------------------
@@ -262,7 +265,7 @@ def _empty_layers(t: Tables) -> DataFrame:
     from packed p join counted c on c.job_id = p.job_id and c.ordinal = p.ordinal + 1)
   select job_id, ordinal, chunk_id from packed""", recursive=True))
 def _assign_chunks(t: Tables) -> DataFrame:
-    return chunks.assign_chunks(t.numbered)
+    return chunks.assign_chunks(t.stored.numbered)
 
 
 @query("chunk_stats", over_checked("""select job_id, chunk_id, count(*) filter (where not skipped) as features,

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from layerlint.functions.geometry import polygon_from_envelope
 from layerlint.operators.prefix import number_rows
-from layerlint.session import prepare, spread
+from layerlint.session import prepare, spread, written
 
 FEATURE_ORDER = [
     "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity", "l_discount", "l_tax", "l_shipdate", "l_returnflag",
@@ -140,6 +140,16 @@ class Tables:
         block = F.shiftright("l_orderkey", ORDER_BLOCK_BITS)
         return number_rows(self.table("lineitem"), ["l_suppkey"], FEATURE_ORDER, block).selectExpr(*FEATURES)
 
+    @cached_property
+    def stored(self) -> Tables:
+        """The same tables with the features view written once, for plans that read it several times.
+
+        Numbering the rows of every job is a full shuffle. A real layer comes with its positions, as the stored view does.
+        """
+        tables = Tables(self.spark, self.sf_dir)
+        tables.numbered = written(self.numbered, "features")
+        return tables
+
     @cached_property
     def unnumbered(self) -> DataFrame:
         """The features view without positions and chunks, for plans that need neither: no shuffle by job."""
