@@ -10,6 +10,7 @@ from layerlint import constants as K
 from layerlint.config import LIMITS, Limits
 from layerlint.functions.text import repeat_joined
 from layerlint.operators.schema import check_features, feature_errors
+from layerlint.operators.skew import split_join
 
 KEYS = ["job_id", "chunk_id", "id"]
 
@@ -72,12 +73,12 @@ def dedupe_by_id(features: DataFrame, limits: Limits = LIMITS) -> DataFrame:
 
 def attach_results(part_errors: DataFrame, features: DataFrame, limits: Limits = LIMITS) -> DataFrame:
     """Checker items whose id is in the chunk, with the position of the last feature under that id."""
-    return part_errors.join(last_by_id(features, limits), KEYS)
+    return split_join(part_errors, last_by_id(features, limits), KEYS)
 
 
 def unmatched_results(part_errors: DataFrame, features: DataFrame, limits: Limits = LIMITS) -> DataFrame:
     """Checker items whose id is not in the chunk; they are never counted."""
-    return part_errors.join(last_by_id(features, limits), KEYS, "left_anti")
+    return split_join(part_errors, last_by_id(features, limits), KEYS, "left_anti")
 
 
 def checker_errors(part_errors: DataFrame, features: DataFrame, limits: Limits = LIMITS) -> DataFrame:

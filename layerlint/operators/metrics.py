@@ -14,7 +14,7 @@ from layerlint import constants as K
 from layerlint.operators.prefix import running
 
 TASK_LABELS = ["job_type", "task_type"]
-MICROS_PER_HOUR = 3_600_000_000
+MICROS_PER_MINUTE = 60_000_000
 
 
 def _bound_text(bound: float) -> str:
@@ -181,7 +181,7 @@ def failures_by_error(events: DataFrame) -> DataFrame:
     return events.filter(_failed()).groupBy(error_type().alias("error_type")).agg(F.count(F.lit(1)).alias("failures"))
 
 
-def active_tasks(events: DataFrame, labels: Sequence[str] = tuple(TASK_LABELS), block_micros: int = MICROS_PER_HOUR) -> DataFrame:
+def active_tasks(events: DataFrame, labels: Sequence[str] = tuple(TASK_LABELS), block_micros: int = MICROS_PER_MINUTE) -> DataFrame:
     """Tasks running after each moment at which one starts or ends, by labels.
 
     There are few labels and very many events, so the running total goes through blocks of time, not one task per label.
