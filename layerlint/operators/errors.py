@@ -99,7 +99,8 @@ def all_errors(features: DataFrame, part_errors: DataFrame, limits: Limits = LIM
 def checker_counts(part_errors: DataFrame, features: DataFrame, limits: Limits = LIMITS) -> DataFrame:
     """Matched checker items counted per chunk.
 
-    Items are summed per (job, chunk, id) before the join, so an id with very many items meets its feature as one row.
+    Items are summed per (job, chunk, id) before the join, so an id with very many items meets its feature as one row. The
+    join is an inner one on purpose: the right side is unique, and a semi join would be moved below the sum.
     """
     m = map_error_code(F.col("code"))
     per_id = part_errors.groupBy(*KEYS).agg(
@@ -107,7 +108,7 @@ def checker_counts(part_errors: DataFrame, features: DataFrame, limits: Limits =
         F.max(F.coalesce((m["type"] == K.RESOLUTION) & F.col("is_exceeded"), F.lit(False))).alias("resolution_exceeded"),
     )
     return (
-        per_id.join(last_by_id(features, limits), KEYS, "left_semi")
+        per_id.join(last_by_id(features, limits).select(*KEYS), KEYS)
         .groupBy("job_id", "chunk_id")
         .agg(*[F.sum(c).alias(c) for c in K.COUNTERS], F.max("resolution_exceeded").alias("resolution_exceeded"))
     )
