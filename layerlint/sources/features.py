@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from layerlint import constants as K
-from layerlint.functions.geometry import GEOMETRY_TYPE
+from layerlint.functions.geometry import GEOMETRY_TYPE, count_vertices
 
 # One feature per line. Spark keeps no file order, so every line carries its position in the layer.
 LINE_SCHEMA = (
@@ -24,18 +24,20 @@ def _four_levels(geometry: Column) -> Column:
     ).cast(GEOMETRY_TYPE)
 
 
-def read_features(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+def read_features(spark: SparkSession, path: str, fmt: str = "parquet", schema: str | T.StructType | None = None) -> DataFrame:
     """Features of layers in a declared schema, from Parquet or from GeoJSON lines.
 
-    GeoJSON properties stay a ``VARIANT``: a missing attribute, a null and values of different types remain apart.
+    GeoJSON properties stay a ``VARIANT``: a missing attribute, a null and values of different types remain apart. Vertices
+    are counted from the geometry where the line does not give them.
     """
     if fmt == "parquet":
-        return spark.read.parquet(path)
+        return (spark.read.schema(schema) if schema else spark.read).parquet(path)
     if fmt != "geojsonl":
         raise ValueError(f"unknown feature format {fmt}")
     lines = spark.read.text(path).select(F.from_json("value", LINE_SCHEMA).alias("f")).select("f.*")
-    vertices = F.try_variant_get("properties", "$.vertices", "bigint")
-    return lines.withColumnRenamed("id", "feature_id").withColumns({"geometry": _four_levels(F.col("geometry")), "vertices": vertices})
+    given = F.try_variant_get("properties", "$.vertices", "bigint")
+    shaped = lines.withColumnRenamed("id", "feature_id").withColumn("geometry", _four_levels(F.col("geometry")))
+    return shaped.withColumn("vertices", F.coalesce(given, count_vertices(F.col("geometry")).cast("bigint")))
 
 
 def base_and_extension(path: Column) -> tuple[Column, Column]:
@@ -67,4 +69,4 @@ def missing_files(layers: DataFrame, listing: DataFrame, required: tuple[str, ..
 
 def absent_folders(required: DataFrame, present: DataFrame) -> DataFrame:
     """Folders that should exist and do not."""
-    return required.select("path").exceptAll(present.select("path").distinct())
+    return required.select("path").subtract(present.select("path"))
