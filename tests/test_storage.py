@@ -102,3 +102,18 @@ def test_result_does_not_depend_on_partitioning(spark, layer):
         return sorted(errors.errors_by_feature(errors.all_errors(frame, t.part_errors.repartition(n))).collect())
 
     assert report(1) == report(11)
+
+
+def test_error_counts_of_a_stream_end_with_the_watermark(spark, tmp_path):
+    source_path, out = str(tmp_path / "errors"), str(tmp_path / "out")
+    rows = spark.createDataFrame(
+        [(1, "Metadata", "2024-01-01 10:00:00"), (1, "Metadata", "2024-01-01 11:00:00"), (2, "Odd", "2024-01-01 12:00:00"),
+         (1, "Vertices", "2024-01-05 00:00:00")], "job_id long, type string, t string",
+    ).select("job_id", "type", F.col("t").cast("timestamp").alias("ts"))
+    rows.write.parquet(source_path)
+    stream = spark.readStream.schema(rows.schema).parquet(source_path)
+    counts = live.running_error_counts(stream, watermark="1 hour")
+    (counts.writeStream.outputMode("append").format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "k"))
+     .trigger(availableNow=True).start().awaitTermination())
+    got = {r.job_id: (r.metadata, r.vertices) for r in spark.read.parquet(out).collect()}
+    assert got == {1: (2, 0), 2: (0, 0)}
