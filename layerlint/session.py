@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,19 +21,37 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Apply the settings the library relies on; all of them may be set at run time."""
     for key, value in SESSION_SETTINGS.items():
         spark.conf.set(key, value)
+    ship(spark)
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, so that Python tasks can import it from any folder."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    # the driver serves this file; executors fetch it
+    archive = os.path.join(tempfile.mkdtemp(prefix="layerlint-"), "layerlint.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(package)))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder. Only a local session without one gets a temporary folder."""
+    """The cluster's checkpoint folder, which all executors can reach; the session must name it."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="layerlint-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if not folder:
+        raise ValueError("start the session with spark.checkpoint.dir set to a folder that all executors can reach")
+    return folder.rstrip("/")
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

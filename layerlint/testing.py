@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 from layerlint.session import prepare
@@ -16,6 +18,7 @@ def local_session(cpus: str | None = None) -> SparkSession:
         .config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", cpus if cpus.isdigit() else "8")
         .config("spark.driver.memory", "8g").config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.checkpoint.dir", SparkConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="layerlint-shared-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
