@@ -2,14 +2,16 @@
 
 1. Texts with equal shingle sets become one *node*; everything below runs on nodes.
 2. A linked pair shares a shingle among the first ``n - ceil(t n) + 1`` of each set in any order that holds for all texts. The
-   order here is *rare first*. Only shingles in the lower ``NEAR`` part of the hash range are listed (all of them for sets that
-   have too few there); the others come last in the order. Lists are counted in buckets of packed rows, and shingles of a
-   single node, which come first in the order and link nothing, end there.
-3. Similar nodes form *groups*: the smallest hashes of their shared shingles name leaders, and a node that an exact comparison
-   links to its leader joins it. So a group of thousands of near copies costs a few comparisons per member.
+   order here is *rare first* in three steps: (A) shingles in the lower ``NEAR`` part of the hash range that at most ``RARE``
+   nodes have, (B) all others of the upper part, (C) frequent ones of the lower part. Lists of A and C are counted over all
+   nodes, in buckets of packed rows; shingles of a single node come first in the order, link nothing and end there. Most
+   nodes have enough of A. Only the others, the *open* nodes, go on to B, counted among open nodes, and C.
+3. Similar nodes form *groups*: nodes that picked the same shared shingle are compared with the most typical of them, the one
+   with the most frequent shingles, and those that are similar join it. So a group of thousands of near copies costs a few
+   comparisons per member.
 4. The matrix has a row (shingle, group) per shingle of a group's union. A node queries all other groups that its prefix meets.
    A group opens only if the shingles of the query that its union lacks are few enough for a link and if lengths agree.
-5. Pairs of the query with members of opened groups that share a prefix shingle are compared exactly on whole sets.
+5. The query is compared with the members of opened groups exactly, on whole sets.
 
 Every link between different groups passes 4 and 5, links inside a group cannot change components, so components are exact.
 """
@@ -28,7 +30,8 @@ from layerlint.llm.words import mix, shingle_sets, slices, utf8
 from layerlint.session import prepare, written
 
 NEAR = int(0.35 * 2**64)
-LEADERS = 3  # independent groupings
+RARE = 8  # nodes that have a shingle of step A
+LEADERS = 4  # independent groupings
 FLUSH = 1 << 20  # listed shingles packed at a time
 SALTS = 64
 
@@ -38,44 +41,53 @@ def node_of(shingles: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-def prefix_length(n, percent: int):
-    return n - (percent * n + 99) // 100 + 1
-
-
-def listed(shingles: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
-    """The shingles of a set that go to the lists, and how many of them are in the near part."""
-    near = int(np.searchsorted(shingles, np.uint64(NEAR)))
-    return (shingles[:near], near) if near >= prefix_length(len(shingles), percent) else (shingles, near)
-
-
-def _nodes(width: int, percent: int):
+def _nodes(width: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            n, node, c, near = [], [], [], []
+            n, node, near = [], [], []
             for own in shingle_sets(utf8(batch.column("text")), width):
-                some, low = listed(own, percent)
                 n.append(len(own))
                 node.append(node_of(own) if len(own) else None)
-                c.append(len(some))
-                near.append(low)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(c, pa.int64()), pa.array(near, pa.int64())],
-                names=["key", "n", "node", "c", "near"],
-            )
+                near.append(int(np.searchsorted(own, np.uint64(NEAR))))
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(near, pa.int64())], names=["key", "n", "node", "near"])
 
     return run
 
 
-def _lists(width: int, percent: int, buckets: int):
-    """Listed shingles packed by bucket. A shingle that is common in a task is dealt over ``SALTS`` buckets by node, with a
+def _near_sets(width: int):
+    """(node, lower part of its set), once per node and task, of Arrow batches of texts."""
+
+    def read(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray]]:
+        seen: set[int] = set()
+        for batch in slices(batches, "text"):
+            for own in shingle_sets(utf8(batch.column("text")), width):
+                if len(own) and (node := node_of(own)) not in seen:
+                    seen.add(node)
+                    yield node, own[: int(np.searchsorted(own, np.uint64(NEAR)))]
+
+    return read
+
+
+def _far_sets(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray]]:
+    """(node, upper part of its set) of Arrow batches of sets."""
+    for batch in batches:
+        sets = batch.column("shingles")
+        values, edges = sets.values.to_numpy(zero_copy_only=False).view(np.uint64), sets.offsets.to_numpy()
+        for node, a, b in zip(batch.column("node").to_pylist(), edges, edges[1:]):
+            own = values[a:b]
+            yield node, own[int(np.searchsorted(own, np.uint64(NEAR))) :]
+
+
+def _lists(read, buckets: int):
+    """Shingles of nodes packed by bucket. A shingle that is common in a task is dealt over ``SALTS`` buckets by node, with a
     mark left in its own bucket, so no list has to meet in one task."""
 
-    def pack(tokens: np.ndarray, nodes: np.ndarray, texts: int) -> pa.RecordBatch:
+    def pack(tokens: np.ndarray, nodes: np.ndarray, sets: int) -> pa.RecordBatch:
         order = np.argsort(tokens, kind="stable")
         tokens, nodes = tokens[order], nodes[order]
         first = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
         sizes = np.diff(np.append(first, len(tokens)))
-        salted = np.repeat(sizes >= max(256, texts // 16), sizes)
+        salted = np.repeat(sizes >= max(256, sets // 16), sizes)
         home = mix(tokens)
         dealt = np.where(salted, mix(home + mix(nodes) % np.uint64(SALTS)), home)
         marks = np.unique(tokens[salted])
@@ -92,17 +104,11 @@ def _lists(width: int, percent: int, buckets: int):
         )
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()  # copies inside a task are listed once
         tokens, nodes, waiting = [], [], 0
-        for batch in slices(batches, "text"):
-            for own in shingle_sets(utf8(batch.column("text")), width):
-                if not len(own) or (node := node_of(own)) in seen:
-                    continue
-                seen.add(node)
-                some, _ = listed(own, percent)
-                tokens.append(some)
-                nodes.append(np.full(len(some), node, dtype=np.int64).view(np.uint64))
-                waiting += len(some)
+        for node, some in read(batches):
+            tokens.append(some)
+            nodes.append(np.full(len(some), node, dtype=np.int64).view(np.uint64))
+            waiting += len(some)
             if waiting >= FLUSH:
                 yield pack(np.concatenate(tokens), np.concatenate(nodes), len(tokens))
                 tokens, nodes, waiting = [], [], 0
@@ -175,10 +181,6 @@ def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     ).select("a", "b")
 
 
-def _lengths_agree(n, m, percent: int):
-    return (100 * n >= percent * m) & (100 * m >= percent * n)
-
-
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 75) -> DataFrame:
     """One row per row of ``docs``: key, n_shingles, component_id, node.
 
@@ -191,75 +193,103 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     given = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     kind = given.schema["key"].dataType.simpleString()
     texts = given.select("text")
-    rows = written(given.mapInArrow(_nodes(width, percent), f"key {kind}, n bigint, node bigint, c bigint, near bigint"), "jaccard-rows")
-    nodes = rows.filter("node is not null").groupBy("node").agg(F.min("key").alias("first_key"), F.min("n").alias("n"), F.min("c").alias("c"), F.min("near").alias("near"))
+    rows = written(given.mapInArrow(_nodes(width), f"key {kind}, n bigint, node bigint, near bigint"), "jaccard-rows")
+    most = F.col("n") - F.floor((percent * F.col("n") + 99) / 100) + 1  # length of a prefix
+    nodes = rows.filter("node is not null").groupBy("node").agg(F.min("key").alias("first_key"), F.min("n").alias("n"), F.min("near").alias("near")).withColumn("most", most)
 
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    lists = texts.mapInArrow(_lists(width, percent, 8 * partitions), "bucket bigint, packed binary").repartition(partitions, "bucket")
-    shared = written(lists.mapInArrow(_shared, "token bigint, node bigint").distinct(), "jaccard-shared")
 
-    # place of each shared shingle in its node's rare-first order
-    counted = shared.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    far = (~F.col("token").between(0, NEAR - 1)).cast("int") if NEAR <= 2**63 else F.lit(0)
-    own = Window.partitionBy("node")
-    placed = (
-        shared.join(counted, "token").withColumn("far", far)
-        .select(
-            "token", "node", "df", "far", F.row_number().over(own.orderBy("far", "df", "token")).alias("at"),
-            F.count(F.lit(1)).over(own).alias("s"), F.sum(1 - F.col("far")).over(own).alias("s_near"),
-        )
-        .join(nodes.select("node", "n", "c", "near"), "node")
-    )
-    near_listed = F.least("near", "c")
-    place = F.when(F.col("far") == 0, near_listed - F.col("s_near") + F.col("at")).otherwise(F.col("c") - F.col("s") + F.col("at"))
-    prefix = placed.filter(place <= F.col("n") - F.floor((percent * F.col("n") + 99) / 100) + 1).select("token", "node", "n")
-    prefix = written(prefix.filter("df > 1"), "jaccard-prefix")
-    met = prefix.groupBy("token").agg(F.count(F.lit(1)).alias("met")).filter("met > 1").select("token")
-    prefix = written(prefix.join(met, "token"), "jaccard-met")
-    open_nodes = written(prefix.select("node").distinct(), "jaccard-open")
+    def shared_of(source: DataFrame, read, name: str) -> DataFrame:
+        """(token, node, df) of shingles that two nodes or more have."""
+        packed = source.mapInArrow(_lists(read, 8 * partitions), "bucket bigint, packed binary").repartition(partitions, "bucket")
+        pairs = written(packed.mapInArrow(_shared, "token bigint, node bigint").distinct(), name)
+        counted = pairs.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+        return written(pairs.join(counted, "token"), f"{name}-counted")
 
+    own = Window.partitionBy("node")
+    by_df = F.row_number().over(own.orderBy("df", "token"))
+    near = shared_of(texts, _near_sets(width), "jaccard-near")
+    state = nodes.join(near.groupBy("node").agg(F.count(F.lit(1)).alias("s"), F.count_if(F.col("df") > RARE).alias("hot"), F.sum(F.log("df")).alias("known")), "node", "left").fillna(0, ["s", "hot", "known"])
+    state = written(state.withColumn("a", F.col("near") - F.col("hot")), "jaccard-state")
+    # step A: near shingles of one node, then those of a few
+    step_a = near.filter(F.col("df") <= RARE).withColumn("at", by_df).join(state, "node").filter(F.col("near") - F.col("s") + F.col("at") <= F.col("most")).select("token", "node", "n")
+    open_nodes = state.filter(F.col("a") < F.col("most"))
+
+    # whole sets of the nodes that may have a link
+    met = written(step_a.join(step_a.groupBy("token").agg(F.count(F.lit(1)).alias("met")).filter("met > 1"), "token").select("token", "node", "n"), "jaccard-a")
+    wanted = written(met.select("node").union(open_nodes.select("node")).distinct(), "jaccard-wanted")
     sets = written(
-        texts.mapInArrow(_texts(width), "node bigint, text string").join(open_nodes, "node").dropDuplicates(["node"])
+        texts.mapInArrow(_texts(width), "node bigint, text string").join(wanted, "node").dropDuplicates(["node"])
         .mapInArrow(_sets(width), "node bigint, shingles array<bigint>"), "jaccard-sets",
     )
 
-    # groups around leaders
-    known = written(shared.join(open_nodes, "node"), "jaccard-known")
-    sketch = known.groupBy("node").agg(*[F.min(F.xxhash64("token", F.lit(k))).alias(f"g{k}") for k in range(LEADERS)])
-    named = written(sketch.select("node", F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"g{k}").alias("g")) for k in range(LEADERS)]))).select("node", "col.k", "col.g"), "jaccard-named")
-    leaders = named.groupBy("k", "g").agg(F.min("node").alias("b"), F.count(F.lit(1)).alias("size")).filter("size > 1")
+    # steps B and C for open nodes
+    opened = written(open_nodes.select("node", "n", "near", "a", "most", "known", (F.col("n") - F.col("near")).alias("far")), "jaccard-open")
+    far = shared_of(sets.join(opened.select("node"), "node"), _far_sets, "jaccard-far")
+    counts = far.groupBy("node").agg(F.count(F.lit(1)).alias("s_far"))
+    step_b = far.withColumn("at", by_df).join(opened, "node").join(counts, "node").filter(F.col("a") + F.col("far") - F.col("s_far") + F.col("at") <= F.col("most")).select("token", "node", "n")
+    step_c = near.filter(F.col("df") > RARE).withColumn("at", by_df).join(opened, "node").filter(F.col("a") + F.col("far") + F.col("at") <= F.col("most")).select("token", "node", "n")
+    prefix = written(step_a.union(step_b).union(step_c), "jaccard-prefix")
+    prefix = written(prefix.join(prefix.groupBy("token").agg(F.count(F.lit(1)).alias("met")).filter("met > 1"), "token").select("token", "node", "n"), "jaccard-met")
+
+    # groups around the most typical node of a shared shingle
+    living = prefix.select("node").distinct()
+    known = written(near.join(living, "node"), "jaccard-known")
+    widest = known.groupBy("node").agg(F.max("df").alias("top"))
+    picks = known.join(widest, "node").groupBy("node").agg(*[
+        F.min_by("token", F.xxhash64("token", F.lit(k))).alias(f"g{k}") if k else F.min_by("token", F.struct((2 * F.col("df") < F.col("top")).alias("low"), F.xxhash64("token"))).alias("g0")
+        for k in range(LEADERS)
+    ])
+    typical = state.select("node", F.round(F.col("known") / F.greatest(F.col("near"), F.lit(1)), 6).alias("typical"))
+    named = written(
+        picks.join(typical, "node").select("node", "typical", F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"g{k}").alias("g")) for k in range(LEADERS)])))
+        .select("node", "typical", "col.k", "col.g"), "jaccard-named",
+    )
+    leaders = named.groupBy("k", "g").agg(F.max(F.struct("typical", "node"))["node"].alias("b"), F.count(F.lit(1)).alias("size")).filter("size > 1")
     stars = named.join(leaders, ["k", "g"]).filter(F.col("node") != F.col("b")).select(F.col("node").alias("a"), "b").distinct()
     links = written(_similar(stars, sets, percent), "jaccard-stars")
     groups = components(links, "jaccard-groups").withColumnRenamed("component", "grp")
 
-    # queries against the groups that their prefixes meet
-    member = written(prefix.join(groups, "node", "left").withColumn("grp", F.coalesce("grp", "node")), "jaccard-member")
-    union = known.join(groups, "node", "left").select("token", F.coalesce("grp", "node").alias("grp"))
-    size = member.select("grp", "node", "n").distinct().groupBy("grp").agg(F.count(F.lit(1)).alias("members"), F.min("n").alias("low"), F.max("n").alias("high"))
-    cells = member.select("token", F.col("grp").alias("other")).distinct()
-    # each pair of groups is asked from the one with the larger name
-    asked = (
-        member.join(cells, "token").filter(F.col("other") < F.col("grp")).select("node", "n", "other").distinct()
-        .join(size.withColumnRenamed("grp", "other"), "other")
-        .filter((100 * F.col("high") >= percent * F.col("n")) & (100 * F.col("n") >= percent * F.col("low")))
+    # Queries against the groups that their prefixes meet. A pair of sizes n and m needs percent * (n + m) / (100 + percent)
+    # common shingles, so what a set has but for shingles that it alone has must be as many. Upper shingles are known to be
+    # a node's own among open nodes only.
+    own_far = opened.join(counts, "node", "left").select("node", (F.col("far") - F.coalesce("s_far", F.lit(0))).alias("alone_far"))
+    common = state.join(own_far, "node", "left").select(
+        "node", (F.col("n") - F.col("near") + F.col("s")).alias("common"),
+        (F.col("n") - F.col("near") + F.col("s") - F.coalesce("alone_far", F.lit(0))).alias("common_open"), F.col("alone_far").isNotNull().alias("is_open"),
+    )
+    member = written(prefix.join(groups, "node", "left").withColumn("grp", F.coalesce("grp", "node")).join(common, "node"), "jaccard-member")
+    members = written(member.drop("token").distinct(), "jaccard-members")
+    size = members.groupBy(F.col("grp").alias("other")).agg(
+        F.count(F.lit(1)).alias("members"), F.min("n").alias("low"), F.max("n").alias("high"), F.max("common").alias("most_common"),
+        F.max("common_open").alias("most_open"), F.min("is_open").alias("all_open"),
+    )
+    cells = written(member.select("token", F.col("grp").alias("other")).distinct().join(size, "other"), "jaccard-cells")
+    both_open = F.col("is_open") & F.col("all_open")
+    needed = percent * (F.col("n") + F.col("low"))
+    enough = (100 + percent) * F.least(F.when(both_open, F.col("common_open")).otherwise(F.col("common")), F.when(both_open, F.col("most_open")).otherwise(F.col("most_common"))) >= needed
+    lengths = (100 * F.col("high") >= percent * F.col("n")) & (100 * F.col("n") >= percent * F.col("low"))
+    # each pair of groups is asked from the one with the larger name; a large group has a small one
+    left, right = member.alias("q"), cells.alias("c")
+    asked = written(
+        left.join(right, (F.col("q.token") == F.col("c.token")) & (F.col("c.other") < F.col("q.grp")) & enough & lengths)
+        .select("node", "n", "other", "members").distinct(), "jaccard-asked",
     )
-    asked = written(asked, "jaccard-asked")
     many = asked.filter("members > 1").select("node", "n", "other")
-    rows_of = union.filter(far == 0).distinct().withColumnRenamed("grp", "other")
-    hits = many.join(known.filter(far == 0), "node").join(rows_of, ["token", "other"]).groupBy("node", "other").agg(F.count(F.lit(1)).alias("hits"))
-    # shingles of the query that the union lacks: listed ones only, so a lower bound of all
-    lacking = F.least("near", "c") - F.col("hits")
+    asking = written(many.select("node").distinct(), "jaccard-asking")
+    asked_of = many.select("other").distinct()
+    union = known.join(groups, "node", "left").select("token", F.coalesce("grp", "node").alias("other")).join(asked_of, "other", "left_semi").distinct()
+    hits = known.join(asking, "node").select("node", "token").join(many, "node").join(union, ["token", "other"]).groupBy("node", "other").agg(F.count(F.lit(1)).alias("hits"))
+    # shingles of the query that the union lacks, of the lower part only: a lower bound of all
     qualifying = (
-        many.join(hits, ["node", "other"]).join(nodes.select("node", "near", "c"), "node")
-        .filter(lacking <= F.col("n") - F.floor((percent * F.col("n") + 99) / 100)).select("node", "other")
-        .union(asked.filter("members = 1").select("node", "other"))
-    )
-    mates = member.select("token", F.col("grp").alias("other"), F.col("node").alias("b"), F.col("n").alias("m"))
-    opened = (
-        qualifying.join(member.select("node", "token", "n"), "node").join(mates, ["token", "other"])
-        .filter(_lengths_agree(F.col("n"), F.col("m"), percent)).select(F.col("node").alias("a"), "b").distinct()
+        many.join(hits, ["node", "other"]).join(state.select("node", "near", "most"), "node")
+        .filter(F.col("near") - F.col("hits") <= F.col("most") - 1).select("node", "n", "other")
+        .union(asked.filter("members = 1").select("node", "n", "other"))
     )
-    more = written(_similar(opened, sets, percent), "jaccard-links")
+    # all of an opened group: its members are alike, so most of them share a prefix shingle with the query or none does
+    mates = members.select(F.col("grp").alias("other"), F.col("node").alias("b"), F.col("n").alias("m"))
+    compared = qualifying.join(mates, "other").filter((100 * F.col("n") >= percent * F.col("m")) & (100 * F.col("m") >= percent * F.col("n")))
+    more = written(_similar(compared.select(F.col("node").alias("a"), "b"), sets, percent), "jaccard-links")
 
     found = components(links.union(more), "jaccard-components")
     best = nodes.join(found, "node").groupBy("component").agg(F.min("first_key").alias("component_id"))
