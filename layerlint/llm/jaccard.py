@@ -212,7 +212,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     state = nodes.join(near.groupBy("node").agg(F.count(F.lit(1)).alias("s"), F.count_if(F.col("df") > RARE).alias("hot"), F.sum(F.log("df")).alias("known")), "node", "left").fillna(0, ["s", "hot", "known"])
     state = written(state.withColumn("a", F.col("near") - F.col("hot")), "jaccard-state")
     # step A: near shingles of one node, then those of a few
-    step_a = near.filter(F.col("df") <= RARE).withColumn("at", by_df).join(state, "node").filter(F.col("near") - F.col("s") + F.col("at") <= F.col("most")).select("token", "node", "n")
+    step_a = near.filter(F.col("df") <= RARE).withColumn("at", by_df).join(state, "node").withColumn("place", F.col("near") - F.col("s") + F.col("at")).filter("place <= most").select("token", "node", "n", "place")
     open_nodes = state.filter(F.col("a") < F.col("most"))
 
     # whole sets of the nodes that may have a link
@@ -227,10 +227,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     opened = written(open_nodes.select("node", "n", "near", "a", "most", "known", (F.col("n") - F.col("near")).alias("far")), "jaccard-open")
     far = shared_of(sets.join(opened.select("node"), "node"), _far_sets, "jaccard-far")
     counts = far.groupBy("node").agg(F.count(F.lit(1)).alias("s_far"))
-    step_b = far.withColumn("at", by_df).join(opened, "node").join(counts, "node").filter(F.col("a") + F.col("far") - F.col("s_far") + F.col("at") <= F.col("most")).select("token", "node", "n")
-    step_c = near.filter(F.col("df") > RARE).withColumn("at", by_df).join(opened, "node").filter(F.col("a") + F.col("far") + F.col("at") <= F.col("most")).select("token", "node", "n")
+    step_b = far.withColumn("at", by_df).join(opened, "node").join(counts, "node").withColumn("place", F.col("a") + F.col("far") - F.col("s_far") + F.col("at")).filter("place <= most").select("token", "node", "n", "place")
+    step_c = near.filter(F.col("df") > RARE).withColumn("at", by_df).join(opened, "node").withColumn("place", F.col("a") + F.col("far") + F.col("at")).filter("place <= most").select("token", "node", "n", "place")
     prefix = written(step_a.union(step_b).union(step_c), "jaccard-prefix")
-    prefix = written(prefix.join(prefix.groupBy("token").agg(F.count(F.lit(1)).alias("met")).filter("met > 1"), "token").select("token", "node", "n"), "jaccard-met")
+    prefix = written(prefix.join(prefix.groupBy("token").agg(F.count(F.lit(1)).alias("met")).filter("met > 1"), "token").select("token", "node", "n", (F.col("n") - F.col("place") + 1).alias("room")), "jaccard-met")
 
     # groups around the most typical node of a shared shingle
     living = prefix.select("node").distinct()
@@ -252,22 +252,22 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
 
     # Queries against the groups that their prefixes meet. A pair of sizes n and m needs percent * (n + m) / (100 + percent)
     # common shingles, so what a set has but for shingles that it alone has must be as many. Upper shingles are known to be
-    # a node's own among open nodes only.
+    # a node's own among open nodes only. From the first common shingle on, either set has room for its later ones only.
     own_far = opened.join(counts, "node", "left").select("node", (F.col("far") - F.coalesce("s_far", F.lit(0))).alias("alone_far"))
     common = state.join(own_far, "node", "left").select(
         "node", (F.col("n") - F.col("near") + F.col("s")).alias("common"),
         (F.col("n") - F.col("near") + F.col("s") - F.coalesce("alone_far", F.lit(0))).alias("common_open"), F.col("alone_far").isNotNull().alias("is_open"),
     )
     member = written(prefix.join(groups, "node", "left").withColumn("grp", F.coalesce("grp", "node")).join(common, "node"), "jaccard-member")
-    members = written(member.drop("token").distinct(), "jaccard-members")
+    members = written(member.drop("token", "room").distinct(), "jaccard-members")
     size = members.groupBy(F.col("grp").alias("other")).agg(
         F.count(F.lit(1)).alias("members"), F.min("n").alias("low"), F.max("n").alias("high"), F.max("common").alias("most_common"),
         F.max("common_open").alias("most_open"), F.min("is_open").alias("all_open"),
     )
-    cells = written(member.select("token", F.col("grp").alias("other")).distinct().join(size, "other"), "jaccard-cells")
+    cells = written(member.groupBy("token", F.col("grp").alias("other")).agg(F.max("room").alias("most_room")).join(size, "other"), "jaccard-cells")
     both_open = F.col("is_open") & F.col("all_open")
     needed = percent * (F.col("n") + F.col("low"))
-    enough = (100 + percent) * F.least(F.when(both_open, F.col("common_open")).otherwise(F.col("common")), F.when(both_open, F.col("most_open")).otherwise(F.col("most_common"))) >= needed
+    enough = (100 + percent) * F.least("room", "most_room", F.when(both_open, F.col("common_open")).otherwise(F.col("common")), F.when(both_open, F.col("most_open")).otherwise(F.col("most_common"))) >= needed
     lengths = (100 * F.col("high") >= percent * F.col("n")) & (100 * F.col("n") >= percent * F.col("low"))
     # each pair of groups is asked from the one with the larger name; a large group has a small one
     left, right = member.alias("q"), cells.alias("c")
