@@ -112,7 +112,7 @@ def write_archives(pages: DataFrame, path: str, key: str = "page_id", url: str =
 
 
 def read_chunks(spark: SparkSession, path: str) -> DataFrame:
-    """Rows (record_id, chunk_no, record_type, url, key, refers_to, payload_bytes, payload_digest, data, intact) of archives.
+    """Rows (record_id, chunk_no, segmented, record_type, url, key, refers_to, payload_bytes, payload_digest, data, intact) of archives.
 
     Works on plain and compressed archives that this module wrote. intact says whether the block has the stated length and
     digest. data is the payload's part, without the HTTP header of a record's first block.
@@ -131,13 +131,14 @@ def read_chunks(spark: SparkSession, path: str) -> DataFrame:
         "raw", skip.alias("skip"), value("WARC-Record-ID").alias("own_id"), value("WARC-Segment-Origin-ID").alias("origin"),
         value("WARC-Type").alias("record_type"), value("WARC-Target-URI").alias("url"), value("X-Key").alias("key"), value("X-Refers-To-Key").alias("refers_to"),
         F.substring_index(value("WARC-Payload-Digest"), ":", -1).alias("payload_digest"), F.substring_index(value("WARC-Block-Digest"), ":", -1).alias("block_digest"),
-        F.coalesce(value("WARC-Segment-Number").cast("int"), F.lit(1)).alias("chunk_no"), value("Content-Length").cast("bigint").alias("length"),
+        F.coalesce(value("WARC-Segment-Number").cast("int"), F.lit(1)).alias("chunk_no"),
+        value("WARC-Segment-Number").isNotNull().alias("segmented"), value("Content-Length").cast("bigint").alias("length"),
     )
     parts = parts.withColumn("block", F.expr("substring(raw, skip + 1, octet_length(raw) - skip - 4)")).drop("raw", "skip")
     intact = (F.octet_length("block") == F.col("length")) & (base32_of_sha1(F.sha1("block")) == F.col("block_digest"))
     http = F.when(F.col("chunk_no") == 1, F.substring_index(F.col("block").cast("string"), "\r\n\r\n", 1))
     return parts.withColumn("http", http).select(
-        F.coalesce("origin", "own_id").alias("record_id"), "chunk_no", "record_type", "url", "key", "refers_to",
+        F.coalesce("origin", "own_id").alias("record_id"), "chunk_no", "segmented", "record_type", "url", "key", "refers_to",
         F.regexp_extract("http", r"(?im)^Content-Length:\x20*(\d+)", 1).cast("bigint").alias("payload_bytes"), "payload_digest",
         F.when(F.col("chunk_no") == 1, F.expr("substring(block, octet_length(http) + 5, octet_length(block))")).otherwise(F.col("block")).alias("data"), intact.alias("intact"),
     )
@@ -182,20 +183,18 @@ def read_records(chunks: DataFrame) -> DataFrame:
     intact: every block has its stated digest, no chunk is missing and the whole has the stated digest and length. Single
     chunks are hashed where they are read; only the chunks of longer records are moved.
     """
-    longer = chunks.filter("chunk_no > 1").select("record_id").distinct()
-    head = chunks.filter("chunk_no = 1")
-    here = head.join(longer, "record_id", "left_anti").select(
-        "record_id", F.lit(1).alias("chunks"), F.octet_length("data").cast("bigint").alias("size"), base32_of_sha1(F.sha1("data")).alias("digest"), "intact",
+    stated = ("record_id", "key", "refers_to", "record_type", "payload_bytes", "payload_digest")
+    here = chunks.filter("not segmented").select(
+        *stated, F.lit(1).alias("chunks"), F.octet_length("data").cast("bigint").alias("size"), base32_of_sha1(F.sha1("data")).alias("digest"), "intact",
     )
-    several = chunks.join(longer, "record_id")
+    several = chunks.filter("segmented")
     blocks = several.groupBy("record_id").agg(F.min("intact").alias("intact"))
     moved = running_digests(several).groupBy("record_id").agg(
         F.count(F.lit(1)).cast("int").alias("chunks"), F.max("size_so_far").alias("size"), F.max_by("digest_so_far", "chunk_no").alias("digest"), F.min("in_order").alias("in_order"),
     ).join(blocks, "record_id").select("record_id", "chunks", "size", "digest", (F.col("intact") & F.col("in_order")).alias("intact"))
-    whole = here.union(moved)
-    stated = head.select("record_id", "key", "refers_to", "record_type", "payload_bytes", "payload_digest")
+    whole = here.union(several.filter("chunk_no = 1").select(*stated).join(moved, "record_id"))
     response = F.col("record_type") == "response"
-    return stated.join(whole, "record_id").select(
+    return whole.select(
         "key", "refers_to", "record_type", F.when(response, F.col("size")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
         F.when(response, F.col("digest")).otherwise(F.col("payload_digest")).alias("payload_digest"), "chunks",
         (F.col("intact") & (~response | ((F.col("size") == F.col("payload_bytes")) & (F.col("digest") == F.col("payload_digest"))))).alias("intact"),
