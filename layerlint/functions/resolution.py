@@ -12,6 +12,11 @@ def zoom_level(degree: Column, zoom_levels: ZoomLevels = ZOOM_LEVELS) -> Column:
 
 
 def resolution_meter(degree: Column, zoom_levels: ZoomLevels = ZOOM_LEVELS) -> Column:
-    """Metres per pixel of the level a resolution belongs to; NULL outside the table. A literal lookup, so no join."""
+    """Metres per pixel of the level a resolution belongs to. A literal lookup, so no join.
+
+    NULL for NULL; a resolution outside the table fails the job instead of losing its metres.
+    """
     table = F.array(*[F.lit(float(m)) for m in zoom_levels.meters()])
-    return F.get(table, zoom_level(degree, zoom_levels))
+    found = F.get(table, zoom_level(degree, zoom_levels))
+    outside = F.raise_error(F.concat(F.lit("resolution outside the zoom table: "), degree.cast("string"))).cast("double")
+    return F.when(degree.isNotNull(), F.coalesce(found, outside))

@@ -37,8 +37,10 @@ def report_title(resource_id: Column, product_type: Column, version: Column) ->
 
 
 def build_url(base: Column, relative: Column) -> Column:
-    """Append a relative path to the path of a base URL, with single slashes between the parts."""
-    return F.regexp_replace(F.concat(base, F.lit("/"), relative), r"(?<!:)/{2,}", "/")
+    """Append a relative path to the path of a base URL, with single slashes between the parts; a query or fragment stays last."""
+    path = F.regexp_extract(base, "^([^?#]*)", 1)
+    rest = F.regexp_extract(base, "^[^?#]*(.*)$", 1)
+    return F.concat(F.regexp_replace(F.concat(path, F.lit("/"), relative), r"(?<!:)/{2,}", "/"), rest)
 
 
 def repeat_joined(text: str, times: Column) -> Column:

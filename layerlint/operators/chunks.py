@@ -97,22 +97,20 @@ def _entry_states(functions: DataFrame, last_block: int, limit: int, job_type: s
 
 
 def assign_chunks(
-    features: DataFrame, limits: Limits = LIMITS, block_size: int = FEATURE_BLOCK, last_ordinal: int | None = None,
+    features: DataFrame, limits: Limits = LIMITS, block_size: int = FEATURE_BLOCK,
 ) -> DataFrame:
     """Chunk of every feature: (job_id, ordinal, chunk_id), numbered from 0.
 
     Features are packed in order; a chunk closes when the next feature would pass the vertex limit. An over-limit feature
     joins the open chunk without filling it. Where a chunk starts depends on all features before it, so each block of a
     layer first states what it would do for every possible fill on entry, the blocks are chained, and then every block
-    assigns its own features. No task holds more than one block. ``last_ordinal`` (found by a column scan if not given)
-    only sets how many rounds of chaining are planned.
+    assigns its own features. No task holds more than one block. A column scan of
+    ``ordinal`` says how many rounds of chaining are needed.
     """
     limit = limits.max_vertices
     narrow = features.select("job_id", "ordinal", "vertices").withColumn("block", F.floor(F.col("ordinal") / block_size))
     job_type = narrow.schema["job_id"].dataType.simpleString()
-    if last_ordinal is None:
-        last_ordinal = features.agg(F.max("ordinal")).first()[0] or 0
-    last_block = last_ordinal // block_size
+    last_block = (features.agg(F.max("ordinal")).first()[0] or 0) // block_size
 
     def summarise(pdf: pd.DataFrame) -> pd.DataFrame:
         carry, closed = _block_function(_counted(pdf.sort_values("ordinal"), limit), limit)
@@ -122,7 +120,7 @@ def assign_chunks(
 
     def assign(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("ordinal")
-        carry, chunk = (int(pdf["carry_in"].iloc[0]), int(pdf["chunk_in"].iloc[0])) if "carry_in" in pdf else (0, 0)
+        carry, chunk = int(pdf["carry_in"].iloc[0]), int(pdf["chunk_in"].iloc[0])
         vertices = _counted(pdf, limit)
         _, jump = _next_breaks(vertices, limit)
         starts = np.zeros(len(pdf), dtype=np.int64)
@@ -135,8 +133,6 @@ def assign_chunks(
         })
 
     out_schema = f"job_id {job_type}, ordinal bigint, chunk_id bigint"
-    if last_block == 0:
-        return narrow.groupBy("job_id", "block").applyInPandas(assign, out_schema)
     functions = narrow.groupBy("job_id", "block").applyInPandas(summarise, _FUNCTION_SCHEMA.format(job_type))
     entries = _entry_states(functions, last_block, limit, job_type)
     return narrow.join(entries, ["job_id", "block"]).groupBy("job_id", "block").applyInPandas(assign, out_schema)

@@ -7,14 +7,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 from layerlint.config import ZOOM_LEVELS, ZoomLevels
 from layerlint.functions.resolution import resolution_meter
 
-# Grid levels: cells of 2**level degrees. The widest covers the whole world, the finest is about a metre.
-COARSEST, FINEST = 9, -17
+# Finest grid level: cells of 2**level degrees, about a metre. The coarsest one follows from the boxes.
+FINEST = -17
 
 
-def roi_feature_ids(roi: DataFrame, keys: tuple[str, ...] = ("ordinal",), random: bool = False) -> DataFrame:
+def roi_feature_ids(roi: DataFrame, keys: tuple[str, ...], random: bool = False) -> DataFrame:
     """Give every region a fresh ``roi_id``, replacing any it has.
 
-    The id is a hash of the region's keys, so a retried task names it the same. ``random`` gives UUIDs instead: write the
+    The id is a hash of the region's keys, so a retried task names it the same; keys must tell all regions of all jobs apart. ``random`` gives UUIDs instead: write the
     result before using it twice.
     """
     fresh = F.uuid() if random else F.sha2(F.concat_ws("|", *[F.col(k).cast("string") for k in keys]), 256)
@@ -42,25 +42,28 @@ def _with_cells(boxes: DataFrame, levels: Column) -> DataFrame:
     return at.withColumn("__cx", F.explode(xs)).withColumn("__cy", F.explode(ys))
 
 
-def roi_candidates(parts: DataFrame, roi: DataFrame, clip: bool = True) -> DataFrame:
+def roi_candidates(parts: DataFrame, roi: DataFrame, clip: bool = True, keys: tuple[str, ...] = ()) -> DataFrame:
     """Parts whose envelope meets a region's envelope, once per region, tagged with its ``roi_id``.
 
     Two boxes are compared at the coarser of their two grid levels, where each touches at most four cells, so a huge region
     costs no more rows than a small one. Regions are listed at their own and all coarser levels; a part at its own level and
     those coarser levels at which some region lives. A pair that shares several cells is kept only in the cell with the
     lower left corner of the overlap, so no pair needs removing afterwards. The cell is an ordinary equality key: the
-    engine broadcasts the regions if they are small and otherwise shuffles, splitting hot cells.
+    engine broadcasts the regions if they are small and otherwise shuffles, splitting hot cells. ``keys`` are columns of both
+    sides, as a job or a layer, that a part and a region must share.
     """
-    regions = roi.select("roi_id", *[F.col(c).alias(c) for c in ("x0", "y0", "x1", "y1")]).withColumn("__own", _level())
+    regions = roi.select("roi_id", *keys, *[F.col(c).alias(c) for c in ("x0", "y0", "x1", "y1")]).withColumn("__own", _level())
     # bounded by the number of grid levels
     live = sorted(r[0] for r in regions.select("__own").distinct().collect())
-    region_cells = _with_cells(regions, F.sequence(F.col("__own"), F.lit(COARSEST))).select(
-        "roi_id", F.col("__own").alias("r_own"), *[F.col(c).alias(f"r_{c}") for c in ("x0", "y0", "x1", "y1")], "__level", "__cx", "__cy",
+    widest = parts.agg(F.max(_level())).first()[0]
+    coarsest = max([FINEST, *live, *([widest] if widest is not None else [])])
+    region_cells = _with_cells(regions, F.sequence(F.col("__own"), F.lit(coarsest))).select(
+        "roi_id", *keys, F.col("__own").alias("r_own"), *[F.col(c).alias(f"r_{c}") for c in ("x0", "y0", "x1", "y1")], "__level", "__cx", "__cy",
     )
     sized = parts.withColumn("__own", _level())
     coarser = F.filter(F.array(*[F.lit(level) for level in live]).cast("array<int>"), lambda level: level > F.col("__own"))
     part_cells = _with_cells(sized, F.concat(F.array("__own"), coarser))
-    met = part_cells.join(region_cells, ["__level", "__cx", "__cy"]).filter(
+    met = part_cells.join(region_cells, [*keys, "__level", "__cx", "__cy"]).filter(
         (F.col("__level") == F.greatest("__own", "r_own"))
         & (F.col("x0") <= F.col("r_x1")) & (F.col("r_x0") <= F.col("x1"))
         & (F.col("y0") <= F.col("r_y1")) & (F.col("r_y0") <= F.col("y1"))
@@ -82,7 +85,11 @@ def apply_roi_resolution(
     A part whose region is unknown or has no limit fails the job; with ``fail=False`` such parts keep a NULL
     ``resolution_meter`` and carry the text in ``error`` instead.
     """
-    limits = roi.select(F.col("roi_id").alias("request_feature_id"), F.col("max_resolution_deg").alias("__limit"))
+    # a repeated id would repeat parts
+    twice = F.raise_error(F.concat(F.lit("region id is not unique: "), F.col("roi_id"))).cast("double")
+    limits = roi.groupBy("roi_id").agg(F.count(F.lit(1)).alias("n"), F.first("max_resolution_deg").alias("limit")).select(
+        F.col("roi_id").alias("request_feature_id"), F.when(F.col("n") > 1, twice).otherwise(F.col("limit")).alias("__limit")
+    )
     joined = candidates.join(limits, "request_feature_id", "left")
     message = F.concat(
         F.lit("Feature: "), F.coalesce("request_feature_id", F.lit("undefined")), F.lit(" doesnt have set maxResolutionDegree")

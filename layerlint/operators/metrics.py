@@ -132,7 +132,7 @@ def status_rates(events: DataFrame, length: str = "5 minutes", slide: str | None
             (F.count_if(_completed()) * 100.0 / total).alias("success_rate"),
             (F.count_if(_failed()) * 100.0 / total).alias("failure_rate"),
             (total / F.lit(_seconds(length))).alias("throughput"),
-            (F.sum("duration_s") / total).alias("avg_duration"),
+            F.avg("duration_s").alias("avg_duration"),
         )
         .select(F.col("w.start").alias("window_start"), *labels, "processed", "success_rate", "failure_rate", "throughput", "avg_duration")
     )
@@ -184,14 +184,14 @@ def failures_by_error(events: DataFrame) -> DataFrame:
 def active_tasks(events: DataFrame, labels: Sequence[str] = tuple(TASK_LABELS), block_micros: int = MICROS_PER_MINUTE) -> DataFrame:
     """Tasks running after each moment at which one starts or ends, by labels.
 
-    There are few labels and very many events, so the running total goes through blocks of time, not one task per label.
+    A task without a duration still runs: it starts and does not end. There are few labels and very many events, so the running total goes through blocks of time, not one task per label.
     """
     start = F.unix_micros(F.col("ts").cast("timestamp"))
     end = start + F.round(F.col("duration_s") * 1_000_000, 0).cast("bigint")
     change = F.array(
         F.struct(start.alias("at_micros"), F.lit(1).alias("change")), F.struct(end.alias("at_micros"), F.lit(-1).alias("change"))
     )
-    moments = events.select(*labels, F.inline(change)).groupBy(*labels, "at_micros").agg(F.sum("change").alias("change"))
+    moments = events.select(*labels, F.inline(change)).filter("at_micros is not null").groupBy(*labels, "at_micros").agg(F.sum("change").alias("change"))
     block = F.floor(F.col("at_micros") / block_micros)
     return running(moments, list(labels), "at_micros", block, sums={"active": "change"}).select(*labels, "at_micros", "active")
 

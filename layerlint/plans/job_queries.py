@@ -19,7 +19,7 @@ CANDIDATES_SQL = f"""select part_id, greatest(p.x0, r.x0) as x0, greatest(p.y0,
 
 
 def _regions(t: Tables) -> DataFrame:
-    return export.roi_feature_ids(t.roi)
+    return export.roi_feature_ids(t.roi, ("ordinal",))
 
 
 @query("roi_candidates", with_views("parts roi", CANDIDATES_SQL))
@@ -244,7 +244,7 @@ def _duration_quantile(t: Tables) -> DataFrame:
     return _micros(metrics.duration_quantile(t.task_events, 0.99, "1 day")).withColumn("duration", F.round("duration", 6))
 
 
-@query("avg_duration", with_views("task_events", f"select {HOUR} as window_micros, round(sum(duration_s) / count(*), 6) as avg_duration from task_events group by 1"))
+@query("avg_duration", with_views("task_events", f"select {HOUR} as window_micros, round(sum(duration_s) / count(duration_s), 6) as avg_duration from task_events group by 1"))
 def _avg_duration(t: Tables) -> DataFrame:
     return _micros(metrics.avg_duration(t.task_events, "1 hour")).withColumn("avg_duration", F.round("avg_duration", 6))
 

@@ -142,7 +142,7 @@ def _export_targets(t: Tables) -> DataFrame:
     union all select part_id, x0, y0, resolution_degree, cast(null as double), 'pkg', 'untouched' from parts"""))
 def _write_export_layer(t: Tables) -> DataFrame:
     path = new_folder(t.spark, "export")
-    regions = export.roi_feature_ids(t.roi)
+    regions = export.roi_feature_ids(t.roi, ("ordinal",))
     candidates = export.roi_candidates(t.parts, regions)
     owners = regions.select(F.col("roi_id").alias("owner"), (F.col("ordinal") % 5).alias("job_id"))
     tagged = candidates.join(owners, F.col("request_feature_id") == F.col("owner")).drop("owner")
@@ -199,7 +199,7 @@ CLOSED = "(select max(ts) - interval '10 minutes' from task_events)"
 @query("task_metrics_stream", with_views("task_events", f"""select epoch_us(time_bucket(interval '1 hour', ts)) as window_micros, count(*) as processed,
     round(count(*) filter (where status = 'Completed') * 100.0 / count(*), 6) as success_rate,
     round(count(*) filter (where status = 'Failed') * 100.0 / count(*), 6) as failure_rate, round(count(*) / 3600.0, 9) as throughput,
-    round(sum(duration_s) / count(*), 6) as avg_duration from task_events group by time_bucket(interval '1 hour', ts)
+    round(sum(duration_s) / count(duration_s), 6) as avg_duration from task_events group by time_bucket(interval '1 hour', ts)
     having time_bucket(interval '1 hour', ts) + interval '1 hour' <= {CLOSED}"""))
 def _task_metrics_stream(t: Tables) -> DataFrame:
     path = new_folder(t.spark, "stream-metrics")

@@ -28,16 +28,16 @@ def read_features(spark: SparkSession, path: str, fmt: str = "parquet", schema:
     """Features of layers in a declared schema, from Parquet or from GeoJSON lines.
 
     GeoJSON properties stay a ``VARIANT``: a missing attribute, a null and values of different types remain apart. Vertices
-    are counted from the geometry where the line does not give them.
+    are counted from the geometry; a number that the line states is only used where there is no geometry to count.
     """
     if fmt == "parquet":
         return (spark.read.schema(schema) if schema else spark.read).parquet(path)
     if fmt != "geojsonl":
         raise ValueError(f"unknown feature format {fmt}")
-    lines = spark.read.text(path).select(F.from_json("value", LINE_SCHEMA).alias("f")).select("f.*")
     given = F.try_variant_get("properties", "$.vertices", "bigint")
+    lines = spark.read.text(path).select(F.from_json("value", LINE_SCHEMA).alias("f")).select("f.*")
     shaped = lines.withColumnRenamed("id", "feature_id").withColumn("geometry", _four_levels(F.col("geometry")))
-    return shaped.withColumn("vertices", F.coalesce(given, count_vertices(F.col("geometry")).cast("bigint")))
+    return shaped.withColumn("vertices", F.when(F.col("geometry").isNotNull(), count_vertices(F.col("geometry")).cast("bigint")).otherwise(given))
 
 
 def base_and_extension(path: Column) -> tuple[Column, Column]:

@@ -20,13 +20,20 @@ def export_targets(jobs: DataFrame, packages: DataFrame) -> DataFrame:
 def write_export_layer(parts: DataFrame, targets: DataFrame, path: str) -> None:
     """Replace the layer of each target with its parts and leave every other layer alone.
 
-    A target with an error fails the write. Rows of one layer may go to several tasks.
+    A target with an error fails the write. Rows of one layer may go to several tasks. A target without parts ends empty.
     """
+    spark = parts.sparkSession
     checked = targets.withColumn("layer", F.when(F.col("error").isNotNull(), F.raise_error(F.col("error")).cast("string")).otherwise(F.col("layer")))
     (
         parts.join(checked.select("job_id", "package", "layer"), "job_id").hint("rebalance", "package", "layer")
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("package", "layer").parquet(path)
     )
+    # an overwrite leaves partitions without rows as they were
+    escaped = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    for target in checked.join(parts.select("job_id").distinct(), "job_id", "left_anti").select("package", "layer").distinct().toLocalIterator():
+        files.delete(spark._jvm.org.apache.hadoop.fs.Path(root, f"package={escaped(target['package'])}/layer={escaped(target['layer'])}"), True)
 
 
 def read_layer(spark: SparkSession, path: str, package: str, layer: str) -> DataFrame:

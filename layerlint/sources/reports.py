@@ -29,9 +29,16 @@ def write_report(report: DataFrame, path: str, batch: str | None = None) -> None
 def read_report(spark: SparkSession, *paths: str, job_type: str = "bigint") -> DataFrame:
     """Rows of one or more reports; columns that only some files have are NULL elsewhere.
 
-    Folder names do not carry a type, so ``job_type`` gives that of the job id.
+    Folder names do not carry a type, so ``job_type`` gives that of the job id; names are read as texts, so that ids like
+    ``007`` keep their zeros.
     """
-    reports = [spark.read.option("mergeSchema", "true").parquet(path) for path in paths]
+    inference = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    before = spark.conf.get(inference)
+    spark.conf.set(inference, "false")
+    try:
+        reports = [spark.read.option("mergeSchema", "true").parquet(path) for path in paths]
+    finally:
+        spark.conf.set(inference, before)
     merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), reports)
     return merged.withColumn("job_id", F.col("job_id").cast(job_type))
 

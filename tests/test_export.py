@@ -57,9 +57,9 @@ def test_unknown_region_fails_or_is_listed(spark):
 
 def test_region_ids(spark):
     roi = spark.createDataFrame([(1, "old"), (2, "old")], "ordinal int, roi_id string")
-    ids = [r.roi_id for r in export.roi_feature_ids(roi).collect()]
+    ids = [r.roi_id for r in export.roi_feature_ids(roi, ("ordinal",)).collect()]
     assert len(set(ids)) == 2 and "old" not in ids
-    assert len({r.roi_id for r in export.roi_feature_ids(roi, random=True).collect()}) == 2
+    assert len({r.roi_id for r in export.roi_feature_ids(roi, ("ordinal",), random=True).collect()}) == 2
 
 
 def test_layer_is_replaced_and_others_stay(spark, tmp_path):
@@ -75,3 +75,24 @@ def test_layer_is_replaced_and_others_stay(spark, tmp_path):
     assert [r.part for r in layers.read_layer(spark, path, "p1", "kept").collect()] == [10]
     with pytest.raises(PySparkException):
         layers.write_export_layer(spark.createDataFrame([(2, 1)], "job_id int, part int"), targets, path)
+
+
+def test_jobs_do_not_mix_and_wide_boxes_meet(spark):
+    parts = spark.createDataFrame([(1, "p", 0.0, 0.0, 1000.0, 1000.0), (2, "q", 0.0, 0.0, 2.0, 2.0)], "job_id int, part_id string, x0 double, y0 double, x1 double, y1 double")
+    roi = spark.createDataFrame([(1, 0, 1.0, 1.0, 2.0, 2.0), (2, 0, 1.0, 1.0, 2.0, 2.0)], "job_id int, ordinal int, x0 double, y0 double, x1 double, y1 double")
+    regions = export.roi_feature_ids(roi, ("job_id", "ordinal"))
+    found = export.roi_candidates(parts, regions, keys=("job_id",))
+    assert sorted((r.job_id, r.part_id) for r in found.collect()) == [(1, "p"), (2, "q")]
+    limited = regions.withColumn("max_resolution_deg", F.lit(0.5))
+    given = found.withColumn("resolution_degree", F.lit(0.1))
+    assert export.apply_roi_resolution(given, limited).count() == 2
+    with pytest.raises(PySparkException):
+        export.apply_roi_resolution(given, limited.union(limited)).collect()
+
+
+def test_a_layer_without_parts_ends_empty(spark, tmp_path):
+    path = str(tmp_path / "packages")
+    targets = spark.createDataFrame([(1, "p 1", "a"), (2, "p 1", "b")], "job_id int, package string, layer string").withColumn("error", F.lit(None).cast("string"))
+    layers.write_export_layer(spark.createDataFrame([(1, 10), (2, 20)], "job_id int, part int"), targets, path)
+    layers.write_export_layer(spark.createDataFrame([(2, 21)], "job_id int, part int"), targets, path)
+    assert [(r.layer, r.part) for r in spark.read.parquet(path).collect()] == [("b", 21)]

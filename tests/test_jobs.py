@@ -80,3 +80,9 @@ def test_active_tasks_meet_at_one_moment(spark):
     for block in (1_000_000, 10**12):
         got = metrics.active_tasks(events, block_micros=block).orderBy("at_micros").collect()
         assert [r.active for r in got] == [1, 1, 0]
+
+
+def test_running_tasks_stay_active_and_urls_keep_their_query(spark):
+    events = spark.createDataFrame([("2024-01-01 00:00:00", None, "a", "b"), ("2024-01-01 00:00:00", 1.0, "a", "b")], "ts string, duration_s double, job_type string, task_type string")
+    assert [r.active for r in metrics.active_tasks(events).orderBy("at_micros").collect()] == [2, 1]
+    assert spark.range(1).select(build_url(F.lit("http://h/a?x=1"), F.lit("b"))).first()[0] == "http://h/a/b?x=1"

@@ -117,3 +117,9 @@ def test_error_counts_of_a_stream_end_with_the_watermark(spark, tmp_path):
      .trigger(availableNow=True).start().awaitTermination())
     got = {r.job_id: (r.metadata, r.vertices) for r in spark.read.parquet(out).collect()}
     assert got == {1: (2, 0), 2: (0, 0)}
+
+
+def test_report_ids_keep_their_zeros(spark, tmp_path):
+    path = str(tmp_path / "ids")
+    reports.write_report(spark.createDataFrame([("007", 1), ("a-b", 2)], "job_id string, chunk_id int"), path)
+    assert sorted(r.job_id for r in reports.read_report(spark, path, job_type="string").collect()) == ["007", "a-b"]
