@@ -66,11 +66,15 @@ def triage_failures(failures: DataFrame) -> DataFrame:
 def callback_rows(results: DataFrame) -> DataFrame:
     """One payload per finished task and callback URL.
 
-    Reads job fields, ``status``, ``recoverable`` (of failed tasks), ``is_valid``, ``report`` (STRUCT<fileName, url, fileSize>
-    or NULL) and ``callback_urls``. A failure that may be tried again calls nobody back, nor does a task without URLs.
+    Reads job fields, ``status``, ``recoverable`` and ``error_type`` (of failed tasks), ``is_valid``, ``report``
+    (STRUCT<fileName, url, fileSize> or NULL) and ``callback_urls``. Only ingestion calls back. A failure that may be tried again
+    calls nobody, nor does one before the task had a handler (attempts spent, task type not configured), nor a task without URLs.
     """
     failed = F.col("status") == "Failed"
-    told = results.filter(~failed | ~F.coalesce("recoverable", F.lit(False)))
+    handled = _lookup(F.col("task_type"), K.MAX_ATTEMPTS).isNotNull() & (F.coalesce("error_type", F.lit("")) != K.REACHED_MAX_ATTEMPTS)
+    told = results.filter(
+        (_lookup(F.col("job_type"), K.JOB_HANDLERS) == "ingestion") & (~failed | (handled & ~F.coalesce("recoverable", F.lit(False))))
+    )
     valid = F.coalesce("is_valid", F.lit(False))
     ending = F.when(valid, " task completed successfully").otherwise(" task completed with errors")
     link = F.struct(

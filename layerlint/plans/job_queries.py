@@ -89,8 +89,11 @@ def _triage_failures(t: Tables) -> DataFrame:
 
 
 RESULTS = [
-    "user_id as job_id", "event_id as task_id", "'Ingestion_New' as job_type", "concat('r', cast(user_id as string)) as resource_id", "'Orthophoto' as product_type",
-    "'1.0' as version", "'validation' as task_type", "case when event_type = 'error' then 'Failed' else 'Completed' end as status",
+    "user_id as job_id", "event_id as task_id", "case user_id % 5 when 0 then 'Ingestion_New' when 1 then 'Ingestion_Update' when 2 then 'Export' when 3 then 'Bogus' else 'Ingestion_Swap_Update' end as job_type",
+    "concat('r', cast(user_id as string)) as resource_id", "'Orthophoto' as product_type",
+    "'1.0' as version", "case when user_id % 7 = 0 then 'unconfigured' when user_id % 7 < 3 then 'polygon-parts' else 'validation' end as task_type",
+    "case when event_type = 'error' then 'Failed' else 'Completed' end as status",
+    "case when event_type <> 'error' then null when event_id % 11 < 4 then 'ReachedMaxTaskAttemptsError' else 'Error' end as error_type",
     "event_id % 2 = 0 as recoverable", "case event_id % 3 when 0 then true when 1 then false end as is_valid",
 ]
 
@@ -98,11 +101,12 @@ RESULTS = [
 @query("callback_rows", f"""with results as (select {', '.join(RESULTS)}, event_id from events),
     urls as (select event_id, unnest(case event_id % 4 when 0 then []::varchar[] when 1 then ['http://a/1'] else ['http://a/1', 'http://b/2'] end) as url from events)
     select r.job_id, r.task_id, url, concat('{{"jobId":"', job_id, '","taskId":"', task_id, '","jobType":"', job_type, '","productId":"', resource_id,
-      '","productType":"Orthophoto","version":"1.0","taskType":"validation","status":"', status, '",',
-      case when status = 'Failed' then '"error":"validation task failed"}}' else concat('"message":"validation task completed ',
+      '","productType":"Orthophoto","version":"1.0","taskType":"', task_type, '","status":"', status, '",',
+      case when status = 'Failed' then concat('"error":"', task_type, ' task failed"}}') else concat('"message":"', task_type, ' task completed ',
         case when coalesce(is_valid, false) then 'successfully' else 'with errors' end, '","data":{{"isValid":', cast(coalesce(is_valid, false) as varchar), ',"links":[',
         case when task_id % 5 = 0 then concat('{{"fileName":"f', task_id, '.zip","url":"http://d/f', task_id, '","fileSize":', task_id, '}}') else '' end, ']}}}}') end) as payload
-    from results r join urls u on u.event_id = r.event_id where not (status = 'Failed' and recoverable)""")
+    from results r join urls u on u.event_id = r.event_id
+    where job_type like 'Ingestion%' and not (status = 'Failed' and (recoverable or task_type = 'unconfigured' or error_type = 'ReachedMaxTaskAttemptsError'))""")
 def _callback_rows(t: Tables) -> DataFrame:
     urls = "case event_id % 4 when 0 then array() when 1 then array('http://a/1') else array('http://a/1', 'http://b/2') end as callback_urls"
     report = """case when event_id % 5 = 0 then named_struct('fileName', concat('f', cast(event_id as string), '.zip'),
@@ -111,7 +115,7 @@ def _callback_rows(t: Tables) -> DataFrame:
 
 
 @query("merge_task_params", over(f"""select j.job_id, j.task_id, v."metadata" as metadata_errors, coalesce(not v.has_critical_errors, false) as is_valid,
-    case when v.has_critical_errors and j.job_id % 2 = 0 then concat('http://localhost:8085/downloads/validation-reports/', cast(j.job_id as varchar), '/r', cast(j.job_id as varchar), '.zip')
+    case when v.has_critical_errors then concat('http://localhost:8085/downloads/validation-reports/', cast(j.job_id as varchar), '/r', cast(j.job_id as varchar), '.zip')
       when j.job_id % 3 = 0 then 'old' end as report_url from jobs j left join verdicts v on v.job_id = j.job_id""", CHUNKS, f"{VIEWS} jobs"))
 def _merge_task_params(t: Tables) -> DataFrame:
     verdicts = _verdicts(t)
@@ -123,7 +127,7 @@ def _merge_task_params(t: Tables) -> DataFrame:
                                                  F.lit("/o").alias("path"), F.lit("old").alias("url"))).alias("report"),
     )
     name = F.concat(F.lit("r"), F.col("job_id").cast("string"), F.lit(".zip"))
-    manifest = verdicts.filter("has_critical_errors and job_id % 2 = 0").select(
+    manifest = verdicts.filter("has_critical_errors").select(
         "job_id", name.alias("fileName"), F.lit(2).cast("bigint").alias("fileSize"), F.lit("/r").alias("path")
     )
     merged = tasks.merge_task_params(saved, summaries, manifest)

@@ -50,12 +50,11 @@ def _missing_files(t: Tables) -> DataFrame:
     return found.withColumn("missing", F.array_join("missing", ", "))
 
 
-@query("absent_folders", """select source as path from (select distinct source from documents where doc_id % 3 = 0) r
-    where source not in (select source from documents where doc_id % 97 = 1)""")
+@query("absent_folders", with_views("listing", """+required as (select distinct concat(base, '.shp') as path from listing)
+    select r.path from required r where not exists (select 1 from listing l where l.path = r.path)"""))
 def _absent_folders(t: Tables) -> DataFrame:
-    documents = t.table("documents")
-    required = documents.filter("doc_id % 3 = 0").select(F.col("source").alias("path")).distinct()
-    return feature_source.absent_folders(required, documents.filter("doc_id % 97 = 1").select(F.col("source").alias("path")))
+    required = t.listing.select(F.concat("base", F.lit(".shp")).alias("path")).distinct()
+    return feature_source.absent_folders(required, t.listing.select("path"))
 
 
 # --- reports ------------------------------------------------------------------------------------
@@ -75,13 +74,14 @@ def _write_report(t: Tables) -> DataFrame:
 NARROW_SQL = f"select job_id, chunk_id, error_id, feature_ordinal, e_vertices, e_metadata from ({REPORT_SQL}) r"
 
 
-@query("read_report", over(f"{NARROW_SQL} where e_metadata is not null union all select job_id, chunk_id, error_id, feature_ordinal, e_vertices, null from ({REPORT_SQL}) r where e_vertices is not null"))
+@query("read_report", over(NARROW_SQL))
 def _read_report(t: Tables) -> DataFrame:
     regular, skipped = new_folder(t.spark, "report"), new_folder(t.spark, "report")
     report = _report(t).select("job_id", "chunk_id", "error_id", "feature_ordinal", "e_vertices", "e_metadata")
-    reports.write_report(report.filter("e_metadata is not null"), regular, batch="b0")
-    reports.write_report(report.filter("e_metadata is not null"), regular, batch="b0")
-    reports.write_report(report.filter("e_vertices is not null").drop("e_metadata"), skipped)
+    # the first report lacks a column and is written twice
+    reports.write_report(report.filter("e_vertices is null").drop("e_vertices"), regular, batch="b0")
+    reports.write_report(report.filter("e_vertices is null").drop("e_vertices"), regular, batch="b0")
+    reports.write_report(report.filter("e_vertices is not null"), skipped)
     return reports.read_report(t.spark, regular, skipped).drop("batch")
 
 
@@ -93,12 +93,13 @@ def _report_error_counts(t: Tables) -> DataFrame:
 OUTCOMES_SQL = f"""with_rows as (select job_id, count(*) as report_rows from ({WIDE_SQL}) w group by job_id),
     outcomes as (select j.job_id, case when j.job_id % 10 = 0 then 'reused' when r.report_rows is null then 'none'
       when coalesce(v.has_critical_errors, false) then 'published' else 'dropped' end as outcome,
-      case when j.job_id % 10 = 0 then concat('/old/', cast(j.job_id as varchar)) end as existing_path, coalesce(r.report_rows, 0) as report_rows
+      case when j.job_id % 10 = 0 then concat('/old/', cast(j.job_id as varchar)) end as existing_path,
+      case when j.job_id % 10 = 0 then cast(j.job_id as bigint) end as existing_size, coalesce(r.report_rows, 0) as report_rows
       from jobs j left join with_rows r on r.job_id = j.job_id left join verdicts v on v.job_id = j.job_id)"""
 
 
 def _outcomes(t: Tables) -> DataFrame:
-    existing = t.jobs.filter("job_id % 10 = 0").select("job_id", F.concat(F.lit("/old/"), F.col("job_id").cast("string")).alias("path"))
+    existing = t.jobs.filter("job_id % 10 = 0").select("job_id", F.concat(F.lit("/old/"), F.col("job_id").cast("string")).alias("path"), F.col("job_id").cast("bigint").alias("size"))
     return reports.finalize_reports(t.jobs, errors.errors_by_feature(_errors(t)), _verdicts(t), existing)
 
 
@@ -110,11 +111,12 @@ def _finalize_reports(t: Tables) -> DataFrame:
 FILE_SQL = "concat(lower(concat(resource_id, '_', product_type)), '_v', version, '_report_2025-01-02T03:04:05.006Z.zip')"
 
 
-@query("report_manifest", over(f""", {OUTCOMES_SQL} select o.job_id, {FILE_SQL} as "fileName", report_rows as "fileSize",
-    concat('/validation-reports/', cast(o.job_id as varchar), '/', {FILE_SQL}) as path,
-    concat('http://localhost:8085/downloads/validation-reports/', cast(o.job_id as varchar), '/', {FILE_SQL}) as url,
-    concat('validation-reports/', cast(o.job_id as varchar), '/', {FILE_SQL}) as s3_key
-    from outcomes o join jobs j on j.job_id = o.job_id where outcome = 'published'""", CHUNKS, f"{VIEWS} jobs"))
+@query("report_manifest", over(f""", {OUTCOMES_SQL}, files as (select o.*, case when outcome = 'reused' then cast(o.job_id as varchar) else {FILE_SQL} end as file
+      from outcomes o join jobs j on j.job_id = o.job_id where outcome in ('published', 'reused'))
+    select job_id, file as "fileName", case when outcome = 'reused' then existing_size else report_rows end as "fileSize",
+    coalesce(existing_path, concat('/validation-reports/', cast(job_id as varchar), '/', file)) as path,
+    concat('http://localhost:8085/downloads/validation-reports/', cast(job_id as varchar), '/', file) as url,
+    concat('validation-reports/', cast(job_id as varchar), '/', file) as s3_key from files""", CHUNKS, f"{VIEWS} jobs"))
 def _report_manifest(t: Tables) -> DataFrame:
     return reports.report_manifest(_outcomes(t), t.jobs, "2025-01-02 03:04:05.006")
 

@@ -20,21 +20,27 @@ FEATURE_ORDER = [
 # Orders per block when the features of a job are numbered, as a power of two.
 ORDER_BLOCK_BITS = 20
 
+# k decides the faults of a feature. Of ten jobs one has no fault, one small geometries only, one small holes only, and one a
+# few of both; one has nothing but features over the vertex limit, and the others have faults of all kinds.
+SOUND = "l_suppkey % 10 between 1 and 4"
+FAULTS = """case l_suppkey % 10 when 1 then 7 when 2 then 61 when 3 then 62
+    when 4 then case (l_orderkey + l_linenumber) % 40 when 0 then 61 when 1 then 62 else 7 end else l_partkey end"""
+
 FEATURES = [
     "l_suppkey as job_id",
     "cast(ordinal as bigint) as ordinal",
     "cast(floor(ordinal / 50) as int) as chunk_id",
-    "l_partkey as k",
-    "case when l_partkey % 97 = 0 then null else concat('F', cast(l_orderkey as string)) end as id",
-    "cast(l_quantity as int) * 60 as vertices",
-    "case when l_partkey % 53 = 0 then null else concat('src', cast(l_partkey % 10 as string)) end as source_name",
-    """case when l_partkey % 41 = 0 then 'not a date'
-       when l_partkey % 3 = 0 then concat(lpad(cast(day(l_shipdate) as string), 2, '0'), '/', lpad(cast(month(l_shipdate) as string), 2, '0'), '/', cast(year(l_shipdate) as string))
+    "k",
+    "case when k % 97 = 0 then null else concat('F', cast(l_orderkey as string)) end as id",
+    f"cast(l_quantity as int) * case when {SOUND} then 1 when l_suppkey % 10 = 6 then 2501 else 60 end as vertices",
+    "case when k % 53 = 0 then null else concat('src', cast(k % 10 as string)) end as source_name",
+    """case when k % 41 = 0 then 'not a date'
+       when k % 3 = 0 then concat(lpad(cast(day(l_shipdate) as string), 2, '0'), '/', lpad(cast(month(l_shipdate) as string), 2, '0'), '/', cast(year(l_shipdate) as string))
        else concat(cast(year(l_shipdate) as string), '-', lpad(cast(month(l_shipdate) as string), 2, '0'), '-', lpad(cast(day(l_shipdate) as string), 2, '0')) end as update_date""",
-    "case when l_partkey % 11 = 0 then '' when l_partkey % 13 = 0 then null else concat(l_returnflag, ' , ', l_linestatus, ',,') end as sensors",
-    "cast(cast(floor(l_extendedprice / 25) as bigint) as string) as ep90",
-    "cast(cast(round(l_discount * 100) as bigint) as string) as source_res",
-    "case when l_partkey % 29 = 0 then 'abc' else cast(cast(round(l_tax * 100) as bigint) + 1 as string) end as publish_res",
+    "case when k % 11 = 0 then '' when k % 13 = 0 then null else concat(l_returnflag, ' , ', l_linestatus, ',,') end as sensors",
+    f"case when {SOUND} then '3' else cast(cast(floor(l_extendedprice / 25) as bigint) as string) end as ep90",
+    f"case when {SOUND} then '2' else cast(cast(round(l_discount * 100) as bigint) as string) end as source_res",
+    "case when k % 29 = 0 then 'abc' else cast(cast(round(l_tax * 100) as bigint) + 1 as string) end as publish_res",
 ]
 
 PART_ERRORS = [
@@ -97,7 +103,7 @@ LISTING = [
 ]
 
 _SQL = {
-    "features": f"select {', '.join(FEATURES)} from (select *, row_number() over (partition by l_suppkey order by "
+    "features": f"select {', '.join(FEATURES)} from (select *, {FAULTS} as k, row_number() over (partition by l_suppkey order by "
                 f"{', '.join(FEATURE_ORDER)}) - 1 as ordinal from lineitem) t",
     "part_errors": f"select {', '.join(PART_ERRORS)} from features where k % 60 <= 6",
     "chunk_holes": f"select job_id, chunk_id, cast({HOLES} as bigint) as small_holes_count from features group by job_id, chunk_id",
@@ -138,7 +144,7 @@ class Tables:
     def numbered(self) -> DataFrame:
         """The features view: each job's rows numbered in file order."""
         block = F.shiftright("l_orderkey", ORDER_BLOCK_BITS)
-        return number_rows(self.table("lineitem"), ["l_suppkey"], FEATURE_ORDER, block).selectExpr(*FEATURES)
+        return number_rows(self.table("lineitem"), ["l_suppkey"], FEATURE_ORDER, block).withColumn("k", F.expr(FAULTS)).selectExpr(*FEATURES)
 
     @cached_property
     def stored(self) -> Tables:
@@ -154,7 +160,7 @@ class Tables:
     def unnumbered(self) -> DataFrame:
         """The features view without positions and chunks, for plans that need neither: no shuffle by job."""
         columns = [c for c in FEATURES if not c.endswith((" as ordinal", " as chunk_id"))]
-        return self._with_constants(spread(self.table("lineitem")).selectExpr(*columns))
+        return self._with_constants(spread(self.table("lineitem")).withColumn("k", F.expr(FAULTS)).selectExpr(*columns))
 
     @cached_property
     def features(self) -> DataFrame:

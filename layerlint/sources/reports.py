@@ -54,10 +54,12 @@ def finalize_reports(jobs: DataFrame, report: DataFrame, verdicts: DataFrame, ex
     """What becomes of each job's report: reused, none, dropped or published.
 
     A report that was published before is reused; without error rows there is none; rows without a critical error are
-    dropped; the others are published. ``existing`` lists ``(job_id, path)`` of reports that are still there.
+    dropped; the others are published. ``existing`` lists ``(job_id, path)`` of reports that are still there, and may give
+    their ``size``.
     """
     with_rows = report.groupBy("job_id").agg(F.count(F.lit(1)).alias("report_rows"))
-    known = existing.groupBy("job_id").agg(F.max("path").alias("existing_path"))
+    size = F.col("size") if "size" in existing.columns else F.lit(None).cast("bigint")
+    known = existing.groupBy("job_id").agg(F.max("path").alias("existing_path"), F.max_by(size, F.col("path")).alias("existing_size"))
     joined = (
         jobs.select("job_id").join(known, "job_id", "left").join(with_rows, "job_id", "left")
         .join(verdicts.select("job_id", "has_critical_errors"), "job_id", "left")
@@ -66,7 +68,7 @@ def finalize_reports(jobs: DataFrame, report: DataFrame, verdicts: DataFrame, ex
         F.when(F.col("existing_path").isNotNull(), "reused").when(F.col("report_rows").isNull(), "none")
         .when(F.coalesce("has_critical_errors", F.lit(False)), "published").otherwise("dropped")
     )
-    return joined.select("job_id", outcome.alias("outcome"), "existing_path", F.coalesce("report_rows", F.lit(0)).alias("report_rows"))
+    return joined.select("job_id", outcome.alias("outcome"), "existing_path", "existing_size", F.coalesce("report_rows", F.lit(0)).alias("report_rows"))
 
 
 def published_rows(report: DataFrame, outcomes: DataFrame) -> DataFrame:
@@ -75,20 +77,22 @@ def published_rows(report: DataFrame, outcomes: DataFrame) -> DataFrame:
 
 
 def report_manifest(outcomes: DataFrame, jobs: DataFrame, created_at: str, services: Services = SERVICES) -> DataFrame:
-    """File name, size (in rows), path, download URL and object-store key of each published report.
+    """File name, size (in rows), path, download URL and object-store key of each published or reused report.
 
-    ``jobs`` gives ``resource_id``, ``product_type`` and ``version``; ``created_at`` is the time in the file name.
+    ``jobs`` gives ``resource_id``, ``product_type`` and ``version``; ``created_at`` is the time in the file name. A reused
+    report keeps its name, path and size; the size is NULL where ``finalize_reports`` was not told it.
     """
     title = report_title(F.col("resource_id"), F.col("product_type"), F.col("version"))
     stamp = F.date_format(F.lit(created_at).cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
     base = build_url(F.lit(services.download_base), F.lit(services.download_path))
     job = F.col("job_id").cast("string")
-    named = outcomes.filter(F.col("outcome") == "published").join(jobs, "job_id").withColumn(
-        "fileName", F.concat(title, F.lit("_report_"), stamp, F.lit(".zip"))
+    reused = F.col("outcome") == "reused"
+    named = outcomes.filter(F.col("outcome").isin("published", "reused")).join(jobs, "job_id").withColumn(
+        "fileName", F.when(reused, F.substring_index("existing_path", "/", -1)).otherwise(F.concat(title, F.lit("_report_"), stamp, F.lit(".zip")))
     )
     return named.select(
-        "job_id", "fileName", F.col("report_rows").alias("fileSize"),
-        F.concat_ws("/", F.lit(services.reports_path), job, "fileName").alias("path"),
+        "job_id", "fileName", F.when(reused, F.col("existing_size")).otherwise(F.col("report_rows")).alias("fileSize"),
+        F.when(reused, F.col("existing_path")).otherwise(F.concat_ws("/", F.lit(services.reports_path), job, "fileName")).alias("path"),
         F.concat_ws("/", base, job, "fileName").alias("url"),
         F.concat_ws("/", F.lit(K.REPORTS_FOLDER), job, "fileName").alias("s3_key"),
     )

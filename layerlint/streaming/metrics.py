@@ -22,9 +22,9 @@ def live_pod_rates(events: DataFrame, delay: str = "10 minutes", length: str = "
     return pod_rates(with_event_time(events, delay), length, slide)
 
 
-def store_closed_windows(windows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Append each window once, when the watermark has passed its end."""
+def store_closed_windows(windows: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
+    """Append each window once, when the watermark has passed its end. Without a trigger the stream ends after what is there."""
     return (
         windows.writeStream.outputMode("append").format("parquet").option("path", path)
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
     )

@@ -14,10 +14,10 @@ from layerlint.operators.schema import check_features, feature_errors
 Transform = Callable[[DataFrame], DataFrame]
 
 
-def validate_stream(features: DataFrame, path: str, checkpoint: str, limits: Limits = LIMITS) -> StreamingQuery:
+def validate_stream(features: DataFrame, path: str, checkpoint: str, limits: Limits = LIMITS, **trigger) -> StreamingQuery:
     """Check each arriving set of features and store its errors.
 
-    A batch writes its own partition and replaces it when repeated, so a restart leaves no duplicates. Rows of a job that
+    ``trigger`` is that of the stream (``processingTime="1 minute"``); unless given, it ends after what is there. A batch writes its own partition and replaces it when repeated, so a restart leaves no duplicates. Rows of a job that
     holds most of a batch are spread over several tasks.
     """
 
@@ -28,7 +28,7 @@ def validate_stream(features: DataFrame, path: str, checkpoint: str, limits: Lim
         )
 
     return (
-        features.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        features.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
     )
 
 
@@ -51,7 +51,7 @@ def running_error_counts(errors: DataFrame, watermark: str | None = None, time:
     return errors.withWatermark(time, watermark).groupBy("job_id", F.window(time, "1 day").alias("day")).agg(*counts)
 
 
-def running_counts_stream(features: DataFrame, path: str, checkpoint: str, limits: Limits = LIMITS) -> StreamingQuery:
+def running_counts_stream(features: DataFrame, path: str, checkpoint: str, limits: Limits = LIMITS, **trigger) -> StreamingQuery:
     """Store the counters of the jobs each batch touches; ``latest_counts`` reads the current ones."""
 
     def store(batch: DataFrame, batch_id: int) -> None:
@@ -62,7 +62,7 @@ def running_counts_stream(features: DataFrame, path: str, checkpoint: str, limit
 
     return (
         running_counts(features, limits).writeStream.outputMode("update").foreachBatch(store)
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
     )
 
 

@@ -33,11 +33,17 @@ def test_triage(spark):
 
 def test_callbacks(spark):
     schema = ("job_id int, task_id int, job_type string, resource_id string, product_type string, version string, task_type string, status string, "
-              "recoverable boolean, is_valid boolean, report struct<fileName:string,url:string,fileSize:bigint>, callback_urls array<string>")
-    base = (1, 2, "Ingestion_New", "r", "Orthophoto", "1.0", "validation")
+              "recoverable boolean, is_valid boolean, report struct<fileName:string,url:string,fileSize:bigint>, callback_urls array<string>, error_type string")
+    job, task = (1, 2), ("r", "Orthophoto", "1.0")
+    base = (*job, "Ingestion_New", *task, "validation")
     rows = spark.createDataFrame([
-        (*base, "Completed", None, None, ("f", "u", 3), ["a", "b"]), (*base, "Failed", True, None, None, ["c"]),
-        (*base, "Failed", False, None, None, ["d"]), (*base, "Completed", None, True, None, None),
+        (*base, "Completed", None, None, ("f", "u", 3), ["a", "b"], None), (*base, "Failed", True, None, None, ["c"], "Error"),
+        (*base, "Failed", False, None, None, ["d"], "Error"), (*base, "Completed", None, True, None, None, None),
+        # no handler yet, or one that does not call back
+        (*base, "Failed", False, None, None, ["e"], "ReachedMaxTaskAttemptsError"),
+        (*job, "Ingestion_New", *task, "other", "Failed", False, None, None, ["f"], "UnrecoverableTaskError"),
+        (*job, "Export", *task, "validation", "Completed", None, None, None, ["g"], None),
+        (*job, "Bogus", *task, "validation", "Failed", False, None, None, ["h"], "Error"),
     ], schema)
     got = {r.url: json.loads(r.payload) for r in tasks.callback_rows(rows).collect()}
     assert set(got) == {"a", "b", "d"}

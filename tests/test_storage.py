@@ -35,11 +35,13 @@ def test_four_outcomes_and_manifest(spark):
     jobs = spark.createDataFrame([(i, "Res", "Orthophoto", "1.0") for i in range(1, 5)], "job_id int, resource_id string, product_type string, version string")
     report = spark.createDataFrame([(1,), (3,), (4,), (4,)], "job_id int")
     verdicts = spark.createDataFrame([(1, True), (2, False), (3, False), (4, True)], "job_id int, has_critical_errors boolean")
-    existing = spark.createDataFrame([(1, "/old.zip")], "job_id int, path string")
+    existing = spark.createDataFrame([(1, "/old.zip", 7)], "job_id int, path string, size bigint")
     outcomes = reports.finalize_reports(jobs, report, verdicts, existing)
     assert {r.job_id: r.outcome for r in outcomes.collect()} == {1: "reused", 2: "none", 3: "dropped", 4: "published"}
     assert reports.published_rows(report, outcomes).count() == 2
-    row = reports.report_manifest(outcomes, jobs, "2025-01-02 03:04:05.006").first()
+    rows = {r.job_id: r for r in reports.report_manifest(outcomes, jobs, "2025-01-02 03:04:05.006").collect()}
+    assert set(rows) == {1, 4} and (rows[1].fileName, rows[1].path, rows[1].fileSize) == ("old.zip", "/old.zip", 7)
+    row = rows[4]
     assert row.fileName == "res_orthophoto_v1.0_report_2025-01-02T03:04:05.006Z.zip"
     assert row.url == f"http://localhost:8085/downloads/validation-reports/4/{row.fileName}"
     assert row.s3_key == f"validation-reports/4/{row.fileName}"
