@@ -32,7 +32,7 @@ from layerlint.session import prepare, written
 NEAR = int(0.35 * 2**64)
 RARE = 8  # nodes that have a shingle of step A
 LEADERS = 4  # independent groupings
-FLUSH = 1 << 20  # listed shingles packed at a time
+FLUSH = 1 << 19  # listed shingles packed at a time
 SALTS = 64
 
 
