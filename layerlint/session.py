@@ -14,6 +14,8 @@ SESSION_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # rows sent to Python by size, so that memory does not follow the length of texts; a longer row is a batch of its own
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
 }
 
 
