@@ -1,8 +1,10 @@
 """Line dedup by pairwise alignment of overlapping documents.
 
 Each line points to the first document that has it, so a document is paired with the first holders of its lines: linear in the
-lines, however many documents share one. A pair is aligned if it shares a rare line, several lines, or enough text. Alignment
-is a patience diff: lines that are unique in both documents and in the same order are anchors, and the stretches between them
+lines, however many documents share one. A pair is aligned if it shares a rare line, several lines, or enough text. Besides, a
+document is aligned with the first holder of every line and run of lines that is long enough to be deleted, whatever its
+frequency. From each line only the shortest such runs that start and end there count: at most two a line, and each line of a
+longer common block is in one that lies in the block. Alignment is a patience diff: lines that are unique in both documents and in the same order are anchors, and the stretches between them
 are aligned the same way. Aligned blocks with enough text are deleted from the later document.
 """
 
@@ -12,9 +14,11 @@ from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from layerlint.llm.words import mix, powers
 from layerlint.session import prepare, written
 
 RARE = 8  # documents that a rare line has at most
@@ -22,6 +26,8 @@ SEVERAL = 3  # lines of any frequency
 ENOUGH = 250  # characters of shared lines of any frequency
 LEAST_BLOCK = 60  # characters of a block that is deleted
 BLANK = 0  # hash of a line without text
+_BASE = 0x9E3779B97F4A7C15
+_BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 
 
 def anchors(a: list[int], b: list[int]) -> list[tuple[int, int]]:
@@ -77,6 +83,39 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int, int]]:
     return [tuple(x) for x in blocks]
 
 
+def run_hashes(lines: np.ndarray, sizes: np.ndarray, least: int) -> np.ndarray:
+    """Hashes of a document's runs of two lines or more, each the shortest of ``least`` characters that starts or ends at a line."""
+    n = len(lines)
+    total = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+    text = np.flatnonzero(lines != BLANK)
+    ends = np.searchsorted(total, total[text] + least, side="left")
+    starts = np.searchsorted(total, total[text + 1] - least, side="right") - 1
+    low = np.concatenate([text[ends <= n], starts[starts >= 0]])
+    high = np.concatenate([ends[ends <= n], text[starts >= 0] + 1])
+    several = high - low > 1
+    spans = np.unique(low[several] * (n + 1) + high[several])
+    low, high = spans // (n + 1), spans % (n + 1)
+    # the sum of line k times base ** k over a run, divided by the power of its first line: the same for equal runs
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(lines.view(np.uint64) + np.uint64(1)) * powers(_BASE, n), dtype=np.uint64)])
+    return np.unique(mix((sums[high] - sums[low]) * powers(_BASE_INVERSE, n + 1)[low] + (high - low).astype(np.uint64)))
+
+
+def _runs(least: int):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lines, sizes = batch.column("lines"), batch.column("sizes")
+            hashes, edges, text = lines.values.to_numpy(zero_copy_only=False), lines.offsets.to_numpy(), sizes.values.to_numpy(zero_copy_only=False)
+            second = sizes.offsets.to_numpy()
+            found = [run_hashes(hashes[a:b], text[c:d], least) for a, b, c, d in zip(edges, edges[1:], second, second[1:])]
+            row = pa.array(np.repeat(np.arange(len(found)), [len(x) for x in found]))
+            runs = np.concatenate(found).view(np.int64) if found else np.zeros(0, np.int64)
+            for at in range(0, len(runs), 1 << 16):
+                own = row.slice(at, 1 << 16)
+                yield pa.RecordBatch.from_arrays([batch.column("key").take(own), batch.column("h").take(own), pa.array(runs[at : at + (1 << 16)])], names=["key", "h", "run"])
+
+    return run
+
+
 def _align(least: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -116,10 +155,14 @@ def dedup_lines(docs: DataFrame, rare: int = RARE, several: int = SEVERAL, enoug
     holders = written(each.groupBy("line").agg(F.min(F.struct("key", "h")).alias("first"), F.count(F.lit(1)).alias("df")).filter("df > 1"), "lines-shared")
     pairs = (
         each.join(holders, "line").filter(F.col("first.key") < F.col("key")).groupBy("key", "h", "first")
-        .agg(F.min("df").alias("df"), F.count(F.lit(1)).alias("n"), F.sum("size").alias("size"))
-        .filter((F.col("df") <= rare) | (F.col("n") >= several) | (F.col("size") >= enough))
-        .select("key", "h", F.col("first.key").alias("first_key"), F.col("first.h").alias("first_h"))
+        .agg(F.min("df").alias("df"), F.count(F.lit(1)).alias("n"), F.sum("size").alias("size"), F.max("size").alias("longest"))
+        .filter((F.col("df") <= rare) | (F.col("n") >= several) | (F.col("size") >= enough) | (F.col("longest") >= least_block))
+        .select("key", "h", "first")
     )
+    runs = rows.mapInArrow(_runs(least_block), f"key {kind}, h bigint, run bigint")
+    run_holders = written(runs.groupBy("run").agg(F.min(F.struct("key", "h")).alias("first"), F.count(F.lit(1)).alias("df")).filter("df > 1").select("run", "first"), "lines-runs")
+    by_run = runs.join(run_holders, "run").filter(F.col("first.key") < F.col("key")).select("key", "h", "first")
+    pairs = pairs.union(by_run).distinct().select("key", "h", F.col("first.key").alias("first_key"), F.col("first.h").alias("first_h"))
     once = rows.dropDuplicates(["key", "h"])
     earlier = once.select(F.col("key").alias("first_key"), F.col("h").alias("first_h"), F.col("lines").alias("earlier"))
     aligned = pairs.join(once, ["key", "h"]).join(earlier, ["first_key", "first_h"]).select("key", "h", "earlier", "lines", "sizes")

@@ -227,6 +227,33 @@ def test_patience_and_line_dedup(spark, none):
     assert linededup.dedup_lines(none).count() == 0
 
 
+def test_line_dedup_of_frequent_passages(spark):
+    long, halves = "a b " * 25, ["c d " * 10, "e f " * 9]
+    texts = [f"own {i}\n{long}\nmore {i}" for i in range(20)] + [f"own {i}\n{halves[0]}\n \n{halves[1]}\nmore {i}" for i in range(20, 40)]
+    got = {r["doc_id"]: r for r in linededup.dedup_lines(table(spark, texts)).collect()}
+    for i in range(40):
+        assert got[i]["text"] == (texts[i] if i in (0, 20) else f"own {i}\nmore {i}"), i
+
+
+def test_line_dedup_partner_by_run(spark):
+    """Both lines of a block were first seen in other documents, one each."""
+    one, two = "g h " * 10, "i j " * 10
+    texts = [f"a\n{one}\nb", f"c\n{two}\nd", f"e\n{one}\n{two}\nf", f"g\n{one}\n{two}\nh"]
+    got = {r["doc_id"]: r["text"] for r in linededup.dedup_lines(table(spark, texts)).collect()}
+    assert got == {0: texts[0], 1: texts[1], 2: texts[2], 3: "g\nh"}
+
+
+def test_run_hashes_cover_common_blocks():
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        sizes = rng.integers(0, 40, 12)
+        lines = np.where(sizes == 0, 0, rng.integers(1, 2**62, 12))
+        a, b = rng.integers(0, 5), rng.integers(6, 13)
+        own, part = linededup.run_hashes(lines, sizes, 60), linededup.run_hashes(lines[a:b], sizes[a:b], 60)
+        assert set(part.tolist()) <= set(own.tolist())
+        assert len(part) or sizes[a:b].sum() < 60
+
+
 # 7
 
 
