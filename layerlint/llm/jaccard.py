@@ -280,9 +280,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     asked_of = many.select("other").distinct()
     union = known.join(groups, "node", "left").select("token", F.coalesce("grp", "node").alias("other")).join(asked_of, "other", "left_semi").distinct()
     hits = known.join(asking, "node").select("node", "token").join(many, "node").join(union, ["token", "other"]).groupBy("node", "other").agg(F.count(F.lit(1)).alias("hits"))
-    # shingles of the query that the union lacks, of the lower part only: a lower bound of all
+    # shingles of the query that the union lacks, of the lower part only: a lower bound of all. A short query may have none
+    # there in common, or none at all, and still pass
     qualifying = (
-        many.join(hits, ["node", "other"]).join(state.select("node", "near", "most"), "node")
+        many.join(hits, ["node", "other"], "left").fillna(0, ["hits"]).join(state.select("node", "near", "most"), "node")
         .filter(F.col("near") - F.col("hits") <= F.col("most") - 1).select("node", "n", "other")
         .union(asked.filter("members = 1").select("node", "n", "other"))
     )

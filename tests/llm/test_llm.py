@@ -150,6 +150,19 @@ def test_jaccard_components(spark, odd, none):
     assert jaccard.near_duplicates(none).count() == 0
 
 
+def test_jaccard_short_texts_in_groups(spark):
+    rng = np.random.default_rng(6)
+    texts = []
+    for i in range(250):
+        words = [f"q{i}v{j}" for j in range(rng.integers(7, 14))]
+        texts += [" ".join(words + [f"q{i}u{j}" for j in range(k)]) for k in range(4)]
+        texts += [" ".join([f"q{i}t"] + words)] * (i % 2)
+    docs = table(spark, [texts[i] for i in rng.permutation(len(texts))])
+    rows = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
+    got = [(r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard.near_duplicates(docs).collect()]
+    assert sorted(got) == sorted(brute_components(rows))
+
+
 def test_graph_components(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 101), (102, 101), (200, 200)]
     found = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
