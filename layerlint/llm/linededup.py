@@ -5,7 +5,8 @@ lines, however many documents share one. A pair is aligned if it shares a rare l
 document is aligned with the first holder of every line and run of lines that is long enough to be deleted, whatever its
 frequency. From each line only the shortest such runs that start and end there count: at most two a line, and each line of a
 longer common block is in one that lies in the block. Alignment is a patience diff: lines that are unique in both documents and in the same order are anchors, and the stretches between them
-are aligned the same way. Aligned blocks with enough text are deleted from the later document.
+are aligned the same way; where no line is unique in both, the k-th occurrence of a run of lines that is long enough, or of a
+line, meets the k-th one. Aligned blocks with enough text are deleted from the later document.
 """
 
 from __future__ import annotations
@@ -34,7 +35,44 @@ def anchors(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     """Positions of lines unique in both, in the longest common order."""
     in_a, in_b = Counter(a), Counter(b)
     at = {x: i for i, x in enumerate(a) if in_a[x] == 1 and x != BLANK}
-    pairs = [(at[x], j) for j, x in enumerate(b) if in_b[x] == 1 and x in at]
+    return rising([(at[x], j) for j, x in enumerate(b) if in_b[x] == 1 and x in at])
+
+
+def repeats(a: list, b: list) -> list[tuple[int, int]]:
+    """Positions of the k-th occurrences of what both have, in the longest common order. None stands for nothing."""
+
+    def numbered(values: list) -> Iterator[tuple]:
+        seen: Counter = Counter()
+        for i, x in enumerate(values):
+            if x is not None and x != BLANK:
+                seen[x] += 1
+                yield i, (x, seen[x])
+
+    at = {x: i for i, x in numbered(a)}
+    return rising([(at[x], j) for j, x in numbered(b) if x in at])
+
+
+def shortest_runs(lines: list[int], sizes: dict[int, int], least: int) -> list[int]:
+    """End of the shortest run of ``least`` characters from each line; 0 where there is none, or a line has no size."""
+    ends, end, size, till = [], 0, 0, len(lines)
+    unsized = [i for i, x in enumerate(lines) if x not in sizes][::-1]
+    for i, x in enumerate(lines):
+        while unsized and unsized[-1] < i:
+            unsized.pop()
+        till = unsized[-1] if unsized else len(lines)
+        if end < i or till == i:
+            end, size = i, 0
+        while size < least and end < till:
+            size += sizes[lines[end]]
+            end += 1
+        ends.append(end if size >= least and x != BLANK and till > i else 0)
+        if end > i:
+            size -= sizes[x]
+    return ends
+
+
+def rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The longest part of the pairs, given by their second position, in which the first one rises too."""
     tops, piles, back = [], [], []
     for k, (i, _) in enumerate(pairs):
         p = bisect_left(tops, i)
@@ -51,9 +89,20 @@ def anchors(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
-def patience(a: list[int], b: list[int]) -> list[tuple[int, int, int]]:
-    """Aligned blocks (start in a, start in b, lines), in order."""
+def patience(a: list[int], b: list[int], sizes: list[int] | None = None, least: int = 0) -> list[tuple[int, int, int]]:
+    """Aligned blocks (start in a, start in b, lines), in order.
+
+    A stretch without a line unique in both is aligned by occurrences: of runs that have ``least`` characters by the sizes of
+    b's lines, if given, and where none is common, of lines.
+    """
     matched: list[tuple[int, int]] = []
+    known = dict(zip(b, sizes)) if sizes is not None else {}
+    ends: list[list[int]] = []
+
+    def runs(side: int, low: int, high: int) -> list[tuple[int, ...] | None]:
+        lines = (a, b)[side]
+        return [tuple(lines[k : ends[side][k]]) if 0 < ends[side][k] <= high else None for k in range(low, high)]
+
     waiting = [(0, len(a), 0, len(b))]
     while waiting:
         i, m, j, n = waiting.pop()
@@ -66,6 +115,15 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int, int]]:
         if i == m or j == n:
             continue
         found = anchors(a[i:m], b[j:n])
+        if not found and sizes is not None:
+            ends = ends or [shortest_runs(x, known, least) for x in (a, b)]
+            free = (0, 0)
+            for x, y in repeats(runs(0, i, m), runs(1, j, n)):
+                if x >= free[0] and y >= free[1]:
+                    size = ends[1][j + y] - j - y
+                    found += [(x + k, y + k) for k in range(size)]
+                    free = (x + size, y + size)
+        found = found or repeats(a[i:m], b[j:n])
         last = (i, j)
         for x, y in found:
             matched.append((i + x, j + y))
@@ -122,7 +180,7 @@ def _align(least: int):
             gone = []
             for a, b, sizes in zip(batch.column("earlier").to_pylist(), batch.column("lines").to_pylist(), batch.column("sizes").to_pylist()):
                 own = []
-                for _, j, n in patience(a, b):
+                for _, j, n in patience(a, b, sizes, least):
                     if sum(sizes[j : j + n]) >= least:
                         own += range(j, j + n)
                 gone.append(own)

@@ -248,6 +248,27 @@ def test_line_dedup_of_frequent_passages(spark):
         assert got[i]["text"] == (texts[i] if i in (0, 20) else f"own {i}\nmore {i}"), i
 
 
+def test_patience_of_repeated_lines():
+    assert linededup.patience([8, 1, 2, 9], [5, 1, 2, 6, 1, 2, 7]) == [(1, 1, 2)]
+    # lines 1 and 2 follow each other once in the one, where neither is the first
+    assert linededup.patience([9, 2, 1, 2, 1], [1, 6, 1, 2, 7, 1, 2, 5], [40, 40, 40, 40, 40, 40, 40, 40], 60)[0] == (2, 2, 2)
+    assert linededup.shortest_runs([1, 0, 2, 3, 4], {1: 30, 0: 0, 2: 30, 3: 60}, 60) == [3, 0, 4, 4, 0]
+    rng = np.random.default_rng(8)
+    for _ in range(2000):
+        a, b = (rng.integers(0, 5, rng.integers(0, 14)).tolist() for _ in range(2))
+        sizes = [0 if x == 0 else 25 + x for x in b]
+        blocks = linededup.patience(a, b, sizes, 60)
+        assert all(a[i : i + n] == b[j : j + n] for i, j, n in blocks)
+        assert all(x[0] + x[2] <= y[0] and x[1] + x[2] <= y[1] for x, y in zip(blocks, blocks[1:]))
+
+
+def test_line_dedup_of_repeated_passage(spark):
+    passage = "k l " * 10 + "\n" + "m n " * 10
+    texts = [f"a\n{passage}\nb", f"x\n{passage}\ny\n{passage}\nz"]
+    got = {r["doc_id"]: r["text"] for r in linededup.dedup_lines(table(spark, texts)).collect()}
+    assert got == {0: texts[0], 1: f"x\ny\n{passage}\nz"}
+
+
 def test_line_dedup_partner_by_run(spark):
     """Both lines of a block were first seen in other documents, one each."""
     one, two = "g h " * 10, "i j " * 10
