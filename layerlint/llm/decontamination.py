@@ -21,8 +21,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from layerlint.llm.words import mix, slices, utf8, window_hashes, word_hashes
-from layerlint.session import prepare
+from layerlint.llm.words import mix, shingle_sets, slices, utf8, window_hashes, word_hashes
+from layerlint.session import prepare, written
 
 RADIUS = 11
 WIDTH = 5
@@ -114,9 +114,13 @@ class ClassIndex:
 
 
 class Items:
-    """Benchmark items ready for search."""
+    """Benchmark items ready for search.
 
-    def __init__(self, ids: list[int | None], texts: list[bytes | None], width: int = WIDTH, percent: int = 75):
+    ``seen`` has the number of items that hold a shingle and ``total`` that of items with words, both over the whole benchmark
+    of which these items are a part; without them the items are all.
+    """
+
+    def __init__(self, ids: list[int | None], texts: list[bytes | None], width: int = WIDTH, percent: int = 75, seen: dict[int, int] | None = None, total: int | None = None):
         words, counts = word_hashes(texts)
         self.width, self.percent = width, percent
         self.ids, self.words, at = [], [], 0
@@ -126,9 +130,10 @@ class Items:
                 self.words.append(words[at : at + n])
             at += n
         self.shingles = [Counter(window_hashes(w, width).tolist()) for w in self.words]
-        seen = Counter(s for x in self.shingles for s in x)
-        self.rarity = {s: math.log(1 + len(self.ids) / k) for s, k in seen.items()}
-        self.foreign = math.log(1 + len(self.ids))
+        seen = Counter(s for x in self.shingles for s in x) if seen is None else seen
+        total = len(self.ids) if total is None else total
+        self.rarity = {s: math.log(1 + total / k) for s, k in seen.items()}
+        self.foreign = math.log(1 + total)
         self.mass = [sum(self.rarity[s] * k for s, k in x.items()) for x in self.shingles]
         sizes = classes(max(map(len, self.words), default=1))
         by: dict[int, list] = {}
@@ -177,19 +182,40 @@ class Items:
             yield t, item, *found
 
 
+def _shingles(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(mark, shingle) of the distinct shingles of each item."""
+    for batch in slices(batches, "text", 1 << 19):
+        for i, own in enumerate(shingle_sets(batch.column("text").to_pylist(), WIDTH)):
+            for at in range(0, len(own), 1 << 16):
+                part = own[at : at + (1 << 16)].view(np.int64)
+                yield pa.RecordBatch.from_arrays([batch.column("mark").take(pa.array(np.full(len(part), i))), pa.array(part)], names=["mark", "shingle"])
+
+
+def counted_items(benchmark: DataFrame) -> DataFrame:
+    """item_id, text, and for texts with words the shingles and how many items of the whole benchmark hold each."""
+    listed = benchmark.filter("text is not null").select("item_id", F.col("text").cast("binary").alias("text")).withColumn("mark", F.sha2("text", 256))
+    each = written(listed.select("mark", "text").mapInArrow(_shingles, "mark string, shingle bigint"), "benchmark-shingles")
+    counts = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("df"))
+    per = each.distinct().join(counts, "shingle").groupBy("mark").agg(F.collect_list(F.struct("shingle", "df")).alias("x"))
+    return written(listed.join(per, "mark", "left").select("item_id", "text", F.col("x.shingle").alias("shingles"), F.col("x.df").alias("df")), "benchmark-items")
+
+
 def item_batches(benchmark: DataFrame) -> Iterator[Items]:
     """The benchmark in slices of bounded size, each fit for one pass: at most ``BATCH_ITEMS`` items and ``BATCH_WORDS`` words or one item."""
-    ids, texts, room = [], [], BATCH_WORDS
-    for row in benchmark.select("item_id", F.col("text").cast("binary").alias("text")).filter("text is not null").orderBy("item_id", "text").toLocalIterator():
+    items = counted_items(benchmark)
+    total = items.filter("shingles is not null").count()
+    ids, texts, seen, room = [], [], {}, BATCH_WORDS
+    for row in items.orderBy("item_id", "text").toLocalIterator():
         size = len(row["text"]) // 4
         if ids and (len(ids) == BATCH_ITEMS or room < size):
-            yield Items(ids, texts)
-            ids, texts, room = [], [], BATCH_WORDS
+            yield Items(ids, texts, seen=seen, total=total)
+            ids, texts, seen, room = [], [], {}, BATCH_WORDS
         ids.append(row["item_id"])
         texts.append(bytes(row["text"]))
+        seen.update(zip((s % (1 << 64) for s in row["shingles"] or []), row["df"] or []))
         room -= size
     if ids:
-        yield Items(ids, texts)
+        yield Items(ids, texts, seen=seen, total=total)
 
 
 def find_passages(docs: DataFrame, benchmark: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -198,7 +224,7 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, keep: tuple[str, ...] =
     An item is held if a window of its length has a weighted shingle similarity of 0.75 or more; the best window is given.
     Words are lower-cased. Empty and null texts and items hold nothing; repeated rows are searched each, repeated items give a
     row each. Items come to the driver in slices of bounded size and each slice is one pass over the documents, so a benchmark
-    of any size can be used. The similarity's weights are those of the item's slice.
+    of any size can be used. The similarity's weights are counted over the whole benchmark, so they do not depend on the slices.
     """
     spark = prepare(docs.sparkSession)
     rows = docs.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)], F.col("text").alias("text"))

@@ -186,6 +186,25 @@ def test_decontamination(spark, odd, none):
     assert decontamination.find_passages(none, benchmark).count() == 0 and decontamination.find_passages(odd, benchmark.limit(0)).count() == 0
 
 
+def test_decontamination_does_not_depend_on_slices(spark, monkeypatch):
+    """Items share a template and some repeat; documents hold them with edited words."""
+    rng = np.random.default_rng(9)
+    template = [f"t{i}" for i in range(12)]
+    items = [template + [f"i{k}w{j}" for j in range(rng.integers(8, 20))] for k in range(24)]
+    benchmark = spark.createDataFrame(list(enumerate([" ".join(x) for x in items] + [" ".join(items[0]), None, ""])), "item_id bigint, text string")
+    texts = []
+    for x in items:
+        for _ in range(4):
+            changed = [f"z{rng.integers(10**6)}" if rng.random() < 0.06 else w for w in x]
+            texts.append(" ".join([f"n{rng.integers(400)}" for _ in range(9)] + changed))
+    docs = table(spark, texts)
+    found = []
+    for most in (1024, 5, 1):
+        monkeypatch.setattr(decontamination, "BATCH_ITEMS", most)
+        found.append(sorted((r["doc_id"], r["item_id"], round(r["similarity"], 9)) for r in decontamination.find_passages(docs, benchmark).collect()))
+    assert found[0] and found[0] == found[1] == found[2]
+
+
 def test_hamming_search_finds_all_within_radius():
     rng = np.random.default_rng(3)
     listed = rng.integers(0, 2**63, 200).astype(np.uint64)
