@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from layerlint.llm import decontamination, jaccard, langid, linededup, mixing, quality, secrets, sharding, toxicity, warc
+from layerlint.llm import decontamination, jaccard, langid, linededup, mixing, periodic, quality, secrets, sharding, toxicity, warc
 from layerlint.session import new_folder
 
 
@@ -56,10 +56,15 @@ def op10_tfidf_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op13_diagonal_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", periodic.planted(F.col("text"), F.col("doc_id")).alias("text"))
+    return periodic.digests(periodic.find_runs(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_warc_chunks, op2_secret_battery, op3_token_group_matrix, op4_simhash_windows, op5_divergence_rules, op6_pairwise_alignment,
-        op7_poisson_mix, op8_bitmask_filters, op9_kd_tree_shards, op10_tfidf_neighbours,
+        op7_poisson_mix, op8_bitmask_filters, op9_kd_tree_shards, op10_tfidf_neighbours, op13_diagonal_runs,
     )
 }
 
