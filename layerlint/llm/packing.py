@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from layerlint.llm.words import slices, utf8
+from layerlint.llm.words import _cut as parts_of, slices, utf8
 from layerlint.operators.prefix import number_rows
 from layerlint.session import prepare, written
 
@@ -31,7 +31,6 @@ END_ID = 1
 BLOCKS = 1024  # parts in which the pieces of one length are numbered
 PART = 1 << 19  # bytes of text tokenized at a time
 KNOWN = 1 << 18  # words whose tokens a task remembers; only speed depends on it
-_SPACE = b" \t\n\x0b\f\r"
 
 
 class Complements:
@@ -135,18 +134,6 @@ def layout(counts: np.ndarray, room: int = ROOM) -> dict[str, np.ndarray]:
     return dict(zip(("length", "first", "uses", "sequence", "offset"), table.T))
 
 
-def _cut(text: bytes) -> Iterator[bytes]:
-    """A text in parts of about ``PART`` bytes that end at white space."""
-    at = 0
-    while len(text) - at > PART:
-        end = at + PART
-        while end < len(text) and text[end] not in _SPACE:
-            end += 1
-        yield text[at:end]
-        at = end
-    yield text[at:]
-
-
 class Encoder:
     """Token ids of texts as little-endian 32-bit numbers, by words between ASCII white space, each distinct word once.
 
@@ -172,7 +159,7 @@ class Encoder:
         """(number of the text, some of its ids) in order, at least once per text."""
         group, size = [], 0
         for row, text in enumerate(texts):
-            for part in _cut(text or b""):
+            for part in parts_of(text or b""):
                 group.append((row, part.split()))
                 size += len(part)
                 if size >= PART:

@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from layerlint.llm import decontamination, jaccard, langid, linededup, mixing, packing, periodic, quality, secrets, sharding, toxicity, warc
-from layerlint.session import new_folder
+from layerlint.llm import decontamination, jaccard, langid, linededup, mixing, packing, periodic, quality, secrets, sharding, spelling, toxicity, warc
+from layerlint.session import new_folder, written
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,6 +61,11 @@ def op11_exact_complements(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op12_frequency_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.count_words(_table(spark, sf_dir, "documents"), "[A-Za-z\u00C0-\u00FF]+", 6, 5, typos=199)
+    return spelling.variants(written(words, "spelling-words"))
+
+
 def op13_diagonal_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", periodic.planted(F.col("text"), F.col("doc_id")).alias("text"))
     return periodic.digests(periodic.find_runs(docs))
@@ -69,7 +74,7 @@ def op13_diagonal_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_warc_chunks, op2_secret_battery, op3_token_group_matrix, op4_simhash_windows, op5_divergence_rules, op6_pairwise_alignment,
-        op7_poisson_mix, op8_bitmask_filters, op9_kd_tree_shards, op10_tfidf_neighbours, op11_exact_complements, op13_diagonal_runs,
+        op7_poisson_mix, op8_bitmask_filters, op9_kd_tree_shards, op10_tfidf_neighbours, op11_exact_complements, op12_frequency_trie, op13_diagonal_runs,
     )
 }
 
