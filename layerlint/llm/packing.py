@@ -13,7 +13,8 @@ exact ones are taken, and are then filled by best fit.
 
 from __future__ import annotations
 
-import os
+import re
+import struct
 import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -29,8 +30,8 @@ from layerlint.session import prepare, written
 ROOM = 4096
 END_ID = 1
 BLOCKS = 1024  # parts in which the pieces of one length are numbered
-PART = 1 << 19  # bytes of text tokenized at a time
-KNOWN = 1 << 18  # words whose tokens a task remembers; only speed depends on it
+KNOWN = 1 << 19  # words whose tokens a task remembers, and the longest ones; only speed depends on them
+LONGEST = 64
 
 
 class Complements:
@@ -134,38 +135,56 @@ def layout(counts: np.ndarray, room: int = ROOM) -> dict[str, np.ndarray]:
     return dict(zip(("length", "first", "uses", "sequence", "offset"), table.T))
 
 
-class Encoder:
+_ENDS = b".,;:!?"
+_LETTERS = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
+
+
+class Encoder(dict):
     """Token ids of texts as little-endian 32-bit numbers, by words between ASCII white space, each distinct word once.
 
-    For a tokenizer that drops white space: no token spans it, and no rule of it looks across it.
+    For a tokenizer that lower-cases, splits letters from other signs and drops white space: no token spans white space, and
+    no rule looks across it. A word of letters is so one word of the tokenizer's model, and closing signs after a letter are
+    another one; such words go to the model directly. All other words go through the whole tokenizer.
     """
 
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
-
-    def _group(self, group: list[tuple[int, list[bytes]]]) -> Iterator[tuple[int, bytes]]:
-        if len(self.known) > KNOWN:
-            self.known = {}
-        new = list(set().union(*[words for _, words in group]) - self.known.keys())
-        for word, found in zip(new, self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)):
-            self.known[word] = np.array(found.ids, "<u4").tobytes()
-        for row, words in group:
-            yield row, b"".join(map(self.known.__getitem__, words))
+        super().__init__()
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.tokenizer, self.model, self.letters = Tokenizer.from_file(path), Tokenizer.from_file(path).model, {}
+        level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.bytes = {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(0x80, 0x100)}
+
+    def _of_letters(self, text: str) -> bytes:
+        found = self.letters.get(text)
+        if found is None:
+            ids = [t.id for t in self.model.tokenize(text.translate(self.bytes))]
+            found = struct.pack(f"<{len(ids)}I", *ids)
+            if len(text) <= LONGEST:
+                if len(self.letters) >= KNOWN:
+                    self.letters.clear()
+                self.letters[text] = found
+        return found
+
+    def __missing__(self, word: bytes) -> bytes:
+        core = word.rstrip(_ENDS)
+        text = core.decode().lower()
+        if _LETTERS.fullmatch(text):
+            found = self._of_letters(text) + (self[word[len(core) :]] if len(core) < len(word) else b"")
+        else:
+            ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
+            found = struct.pack(f"<{len(ids)}I", *ids)
+        if len(word) <= LONGEST:
+            if len(self) >= KNOWN:
+                self.clear()
+            self[word] = found
+        return found
 
     def encode(self, texts: Iterable[bytes | None]) -> Iterator[tuple[int, bytes]]:
         """(number of the text, some of its ids) in order, at least once per text."""
-        group, size = [], 0
         for row, text in enumerate(texts):
             for part in parts_of(text or b""):
-                group.append((row, part.split()))
-                size += len(part)
-                if size >= PART:
-                    yield from self._group(group)
-                    group, size = [], 0
-        yield from self._group(group)
+                yield row, b"".join(map(self.__getitem__, part.split()))
 
 
 def _pieces(encoded: Iterable[tuple[int, bytes]], room: int, end_id: int) -> Iterator[tuple[int, int, int, bytes]]:

@@ -9,6 +9,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from layerlint.llm import packing
+from layerlint.llm.words import PIECE
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 DOCS = "doc_id bigint, text string, length int, sequence_id string, key int"
@@ -92,9 +93,19 @@ def test_odd_rows_and_pieces(spark):
     assert packing.pack_documents(docs.limit(0), WORDS).count() == 0
 
 
-def test_long_text_in_parts(spark, monkeypatch):
+def test_words_of_letters_and_closing_signs(monkeypatch):
+    monkeypatch.setattr(packing, "KNOWN", 3)
+    tokenizer, encoder = Tokenizer.from_file(WORDS), packing.Encoder(WORDS)
+    words = "Été ÉTÉ. straße?! ÀÖØÞß ×÷ a×b, don't. It's ?! a.b. I\u0307x e\u0301, É\u0301. ÿ; <|EndOfText|> <|endoftext|>. A<|endoftext|>b. \u212a\u212b, İI, 7up. ĳ. ﬁ, \u00b5m \u00aa. x\u00a0y, ’s. naïve\u200d!".split(" ")
+    texts = [*words, " ".join(words), "\t\n".join(reversed(words)), "x" * 200]
+    for text in texts:
+        got = b"".join(ids for _, ids in encoder.encode([text.encode()]))
+        assert np.frombuffer(got, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
+def test_long_text_in_parts(spark):
     texts = [" ".join(f"w{i % 977} Foo, bar" for i in range(40_000)), "z"]  # longer than a part
-    assert len(texts[0]) > packing.PART
+    assert len(texts[0]) > PIECE
     check(packing.pack_documents(table(spark, texts), WORDS).collect(), list(enumerate(texts)), packing.ROOM)
 
 
