@@ -184,6 +184,8 @@ class Encoder(dict):
         """(number of the text, some of its ids) in order, at least once per text."""
         for row, text in enumerate(texts):
             for part in parts_of(text or b""):
+                if b"<|" not in part:  # nothing of it can be a special token, which only its case tells from text
+                    part = part.lower()
                 yield row, b"".join(map(self.__getitem__, part.split()))
 
 
