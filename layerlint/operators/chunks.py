@@ -12,6 +12,7 @@ from layerlint.operators.mapping import PART_COLUMNS
 from layerlint.operators.prefix import running
 from layerlint.operators.schema import check_features
 from layerlint.operators.verdict import CHUNK_BLOCK
+from layerlint.session import written
 
 # Features per block of the chunk assignment, and blocks folded by one task.
 FEATURE_BLOCK = 65536
@@ -54,6 +55,9 @@ def _counted(pdf: pd.DataFrame, limit: int) -> np.ndarray:
     return np.where(vertices > limit, 0, vertices)
 
 
+# Positions of a layer that one request record may hold.
+PAGE_ROWS = 10_000
+
 _FUNCTION_SCHEMA = "job_id {0}, block bigint, carry array<int>, closed array<bigint>"
 _ENTRY_SCHEMA = "job_id {0}, block bigint, carry_in int, chunk_in bigint"
 
@@ -104,13 +108,17 @@ def assign_chunks(
     Features are packed in order; a chunk closes when the next feature would pass the vertex limit. An over-limit feature
     joins the open chunk without filling it. Where a chunk starts depends on all features before it, so each block of a
     layer first states what it would do for every possible fill on entry, the blocks are chained, and then every block
-    assigns its own features. No task holds more than one block. A column scan of
-    ``ordinal`` says how many rounds of chaining are needed.
+    assigns its own features. No task holds more than one block. The first block of a job starts empty, so jobs of one block
+    only take the last step. A feature without job or position fails the job.
     """
     limit = limits.max_vertices
-    narrow = features.select("job_id", "ordinal", "vertices").withColumn("block", F.floor(F.col("ordinal") / block_size))
+    lost = F.raise_error(F.lit("a feature has no job or no position"))
+    narrow = features.select(
+        "job_id", F.when(F.col("job_id").isNull(), lost.cast("bigint")).otherwise(F.coalesce(F.col("ordinal").cast("bigint"), lost.cast("bigint"))).alias("ordinal"), "vertices",
+    ).withColumn("block", F.floor(F.col("ordinal") / block_size))
     job_type = narrow.schema["job_id"].dataType.simpleString()
-    last_block = (features.agg(F.max("ordinal")).first()[0] or 0) // block_size
+    last_blocks = written(narrow.groupBy("job_id").agg(F.max("block").alias("last_block")), "chunk-blocks")
+    last_block = last_blocks.agg(F.max("last_block")).first()[0] or 0
 
     def summarise(pdf: pd.DataFrame) -> pd.DataFrame:
         carry, closed = _block_function(_counted(pdf.sort_values("ordinal"), limit), limit)
@@ -133,9 +141,14 @@ def assign_chunks(
         })
 
     out_schema = f"job_id {job_type}, ordinal bigint, chunk_id bigint"
-    functions = narrow.groupBy("job_id", "block").applyInPandas(summarise, _FUNCTION_SCHEMA.format(job_type))
+    start = {"carry_in": F.lit(0).cast("bigint"), "chunk_in": F.lit(0).cast("bigint")}
+    if last_block == 0:
+        return narrow.withColumns(start).groupBy("job_id", "block").applyInPandas(assign, out_schema)
+    several = narrow.join(last_blocks.filter("last_block > 0").select("job_id"), "job_id", "left_semi")
+    functions = several.groupBy("job_id", "block").applyInPandas(summarise, _FUNCTION_SCHEMA.format(job_type))
     entries = _entry_states(functions, last_block, limit, job_type)
-    return narrow.join(entries, ["job_id", "block"]).groupBy("job_id", "block").applyInPandas(assign, out_schema)
+    known = narrow.join(entries, ["job_id", "block"], "left").withColumns({c: F.coalesce(F.col(c).cast("bigint"), zero) for c, zero in start.items()})
+    return known.groupBy("job_id", "block").applyInPandas(assign, out_schema)
 
 
 def chunk_stats(features: DataFrame, limits: Limits = LIMITS) -> DataFrame:
@@ -152,10 +165,16 @@ def chunk_stats(features: DataFrame, limits: Limits = LIMITS) -> DataFrame:
     )
 
 
-def chunk_payload(parts: DataFrame, jobs: DataFrame) -> DataFrame:
-    """One request record per chunk with its parts in order, as JSON. A chunk is vertex-bounded, so is its record."""
+def chunk_payload(parts: DataFrame, jobs: DataFrame, page_rows: int = PAGE_ROWS) -> DataFrame:
+    """Request records per chunk with its parts in order, as JSON: pages of at most ``page_rows`` parts, numbered from 0.
+
+    A chunk is bounded by its vertices, but parts without vertices do not fill it. A page holds the parts at so many
+    positions of the layer, counted from the chunk's first one, so its rows are gathered without ordering the whole chunk.
+    """
     geometry = [c for c in ("geometry",) if c in parts.columns]
-    gathered = parts.groupBy("job_id", "chunk_id").agg(
+    first = parts.groupBy("job_id", "chunk_id").agg(F.min("ordinal").alias("__first"))
+    paged = parts.join(first, ["job_id", "chunk_id"]).withColumn("page", F.floor((F.col("ordinal") - F.col("__first")) / page_rows))
+    gathered = paged.groupBy("job_id", "chunk_id", "page").agg(
         F.sort_array(F.collect_list(F.struct("ordinal", F.struct(*geometry, F.struct(*PART_COLUMNS).alias("properties")).alias("part")))).alias("p")
     )
     request = F.struct(
@@ -164,7 +183,7 @@ def chunk_payload(parts: DataFrame, jobs: DataFrame) -> DataFrame:
         F.transform("p", lambda x: x["part"]).alias("partsData"),
     )
     header = jobs.select("job_id", "job_type", "catalog_id", "resource_id", "product_type", "version")
-    return gathered.join(header, "job_id").select("job_id", "chunk_id", F.size("p").alias("parts"), F.to_json(request).alias("payload"))
+    return gathered.join(header, "job_id").select("job_id", "chunk_id", "page", F.size("p").alias("parts"), F.to_json(request).alias("payload"))
 
 
 def running_progress(features: DataFrame) -> DataFrame:

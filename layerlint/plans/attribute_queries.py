@@ -167,7 +167,7 @@ def _split_valid(t: Tables) -> DataFrame:
 @query("map_part_properties", over_checked(f"""
     select f.job_id, chunk_id, ordinal, id, cast(null as varchar) as source_id, source_name, try_cast(ep90 as double) as ce90,
       epoch_us({DATE_SQL}) as begin_micros, epoch_us({DATE_SQL}) as end_micros, cast(source_res as double) as source_meter,
-      78271.52 / 1024 as meter, 0.703125 / 1024 as degree, array_to_string({SENSORS_SQL}, '|') as sensor_list,
+      78271.52 / power(2, job_id % 20) as meter, 0.703125 / power(2, job_id % 20) as degree, array_to_string({SENSORS_SQL}, '|') as sensor_list,
       cast(null as varchar) as description, 'c1|c2' as city_list, '' as country_list
     from checked f where issues = '' and not skipped"""))
 def _map_part_properties(t: Tables) -> DataFrame:

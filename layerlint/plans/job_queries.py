@@ -13,27 +13,36 @@ from layerlint.plans.views import Tables, with_views
 
 # --- export -------------------------------------------------------------------------------------
 
-MET = "p.x0 <= r.x1 and r.x0 <= p.x1 and p.y0 <= r.y1 and r.y0 <= p.y1"
-CANDIDATES_SQL = f"""select part_id, greatest(p.x0, r.x0) as x0, greatest(p.y0, r.y0) as y0, least(p.x1, r.x1) as x1, least(p.y1, r.y1) as y1,
-    resolution_degree, roi_id as request_feature_id from parts p join roi r on {MET}"""
+# a region across the antimeridian is two boxes
+PIECES_SQL = """(select roi_id, job_id, x0, y0, case when x0 > x1 then 180.0 else x1 end as x1, y1 from roi
+    union all select roi_id, job_id, -180.0, y0, x1, y1 from roi where x0 > x1)"""
+MET = "p.job_id = r.job_id and p.x0 <= r.x1 and r.x0 <= p.x1 and p.y0 <= r.y1 and r.y0 <= p.y1"
+CANDIDATES_SQL = f"""select p.job_id, part_id, greatest(p.x0, r.x0) as x0, greatest(p.y0, r.y0) as y0, least(p.x1, r.x1) as x1, least(p.y1, r.y1) as y1,
+    resolution_degree, roi_id as request_feature_id from parts p join {PIECES_SQL} r on {MET}"""
 
 
 def _regions(t: Tables) -> DataFrame:
-    return export.roi_feature_ids(t.roi, ("ordinal",))
+    return export.roi_feature_ids(t.roi, ("job_id", "ordinal"))
 
 
 @query("roi_candidates", with_views("parts roi", CANDIDATES_SQL))
 def _roi_candidates(t: Tables) -> DataFrame:
-    return export.roi_candidates(t.parts, _regions(t))
+    return export.roi_candidates(t.parts, _regions(t), ("job_id",))
 
 
-@query("apply_roi_resolution", with_views("parts roi", f"""+found as ({CANDIDATES_SQL}), raised as (select part_id, x0, y0,
+@query("roi_candidates_whole", with_views("parts roi", f"""select distinct p.job_id, part_id, p.x0, p.y0, p.x1, p.y1, resolution_degree, roi_id as request_feature_id
+    from parts p join {PIECES_SQL} r on {MET}"""))
+def _roi_candidates_whole(t: Tables) -> DataFrame:
+    return export.roi_candidates(t.parts, _regions(t), ("job_id",), clip=False)
+
+
+@query("apply_roi_resolution", with_views("parts roi", f"""+found as ({CANDIDATES_SQL}), raised as (select found.job_id, part_id, found.x0, found.y0,
     greatest(resolution_degree, max_resolution_deg) as resolution_degree from found join roi on roi_id = request_feature_id)
-    select *, {METER_SQL.format(c='resolution_degree')} as resolution_meter from raised""".replace("select part_id, x0, y0,", "select part_id, found.x0, found.y0,")))
+    select *, {METER_SQL.format(c='resolution_degree')} as resolution_meter from raised"""))
 def _apply_roi_resolution(t: Tables) -> DataFrame:
     regions = _regions(t)
-    return export.apply_roi_resolution(export.roi_candidates(t.parts, regions), regions).select(
-        "part_id", "x0", "y0", "resolution_degree", "resolution_meter"
+    return export.apply_roi_resolution(export.roi_candidates(t.parts, regions, ("job_id",)), regions).select(
+        "job_id", "part_id", "x0", "y0", "resolution_degree", "resolution_meter"
     )
 
 

@@ -137,28 +137,27 @@ def _export_targets(t: Tables) -> DataFrame:
     return layers.export_targets(t.jobs.selectExpr(*TARGETS), packages)
 
 
-@query("write_export_layer", with_views("parts roi", f"""+found as ({CANDIDATES_SQL}), raised as (select part_id, found.x0, found.y0, ordinal % 5 as region,
+@query("write_export_layer", with_views("parts roi", f"""+found as ({CANDIDATES_SQL}), raised as (select found.job_id, part_id, found.x0, found.y0,
     greatest(resolution_degree, max_resolution_deg) as resolution_degree from found join roi on roi_id = request_feature_id)
     select part_id, x0, y0, resolution_degree, {METER_SQL.format(c='resolution_degree')} as resolution_meter,
-      'pkg' as package, concat('layer', cast(region as varchar)) as layer from raised
-    union all select part_id, x0, y0, resolution_degree, cast(null as double), 'pkg', 'untouched' from parts"""))
+      concat('pkg', cast(job_id % 3 as varchar)) as package, concat('layer', cast(job_id as varchar)) as layer from raised
+    union all select part_id, x0, y0, resolution_degree, cast(null as double), '007', 'untouched' from parts"""))
 def _write_export_layer(t: Tables) -> DataFrame:
     path = new_folder(t.spark, "export")
-    regions = export.roi_feature_ids(t.roi, ("ordinal",))
-    candidates = export.roi_candidates(t.parts, regions)
-    owners = regions.select(F.col("roi_id").alias("owner"), (F.col("ordinal") % 5).alias("job_id"))
-    tagged = candidates.join(owners, F.col("request_feature_id") == F.col("owner")).drop("owner")
-    exported = export.apply_roi_resolution(tagged, regions)
+    regions = export.roi_feature_ids(t.roi, ("job_id", "ordinal"))
+    exported = export.apply_roi_resolution(export.roi_candidates(t.parts, regions, ("job_id",)), regions)
     no_error = F.lit(None).cast("string").alias("error")
-    targets = t.table("region").select(F.col("r_regionkey").alias("job_id"), F.lit("pkg").alias("package"),
-                                       F.concat(F.lit("layer"), F.col("r_regionkey").cast("string")).alias("layer"), no_error)
-    other = t.spark.range(1).select(F.lit(-1).alias("job_id"), F.lit("pkg").alias("package"), F.lit("untouched").alias("layer"), no_error)
-    plain = t.parts.withColumn("job_id", F.lit(-1)).withColumn("resolution_meter", F.lit(None).cast("double"))
+    job = F.col("job_id")
+    targets = t.roi.select("job_id").distinct().select("job_id", F.concat(F.lit("pkg"), (job % 3).cast("string")).alias("package"),
+                                                       F.concat(F.lit("layer"), job.cast("string")).alias("layer"), no_error)
+    other = t.spark.range(1).select(F.lit(-1).alias("job_id"), F.lit("007").alias("package"), F.lit("untouched").alias("layer"), no_error)
+    plain = t.parts.withColumn("job_id", F.lit(-1).cast("bigint")).withColumn("resolution_meter", F.lit(None).cast("double"))
     layers.write_export_layer(plain, other, path)
-    # written twice: the second write replaces the five layers and leaves the other one
+    # every second part first, then all of them twice: each write replaces the layers of the jobs and leaves the other one
+    layers.write_export_layer(exported.filter("part_id % 2 = 0"), targets, path)
     layers.write_export_layer(exported, targets, path)
     layers.write_export_layer(exported, targets, path)
-    return t.spark.read.parquet(path).select("part_id", "x0", "y0", "resolution_degree", "resolution_meter", "package", "layer")
+    return layers.read_layers(t.spark, path).select("part_id", "x0", "y0", "resolution_degree", "resolution_meter", "package", "layer")
 
 
 # --- streams ------------------------------------------------------------------------------------

@@ -65,15 +65,19 @@ TASK_EVENTS = [
 ]
 
 PARTS = [
-    "p_partkey as part_id", "cast(p_partkey % 340 - 170 as double) as x0", "cast(p_size * 2 - 60 as double) as y0",
+    "p_partkey % 20 as job_id", "p_partkey as part_id", "cast(p_partkey % 340 - 170 as double) as x0", "cast(p_size * 2 - 60 as double) as y0",
     "cast(p_partkey % 340 - 169 + p_size % 5 as double) as x1", "cast(p_size * 2 - 59 + p_partkey % 3 as double) as y1",
     "cast(0.703125 as double) / power(2, p_size % 23) as resolution_degree",
 ]
 
+# Regions of 20 jobs, numbered alike in each: wide ones, strips, small ones, and some that cross the antimeridian.
+_WIDTH = "case s_suppkey % 4 when 0 then 20.0 when 1 then 100.0 when 2 then 0.5 else 45.0 end"
+_HEIGHT = "case s_suppkey % 4 when 0 then 40.0 when 1 then 0.001 when 2 then 0.5 else 10.0 end"
+_EAST = f"(s_suppkey * 13) % 340 - 170 + {_WIDTH}"
 ROI = [
-    "n_nationkey as ordinal", "cast(n_nationkey * 13 - 170 as double) as x0", "cast(n_nationkey * 3 - 50 as double) as y0",
-    "cast(n_nationkey * 13 - 150 as double) as x1", "cast(n_nationkey * 3 - 10 as double) as y1",
-    "cast(0.703125 as double) / power(2, n_nationkey % 15) as max_resolution_deg",
+    "s_suppkey % 20 as job_id", "cast(floor(s_suppkey / 20) as int) as ordinal", "cast((s_suppkey * 13) % 340 - 170 as double) as x0",
+    "cast((s_suppkey * 3) % 100 - 50 as double) as y0", f"cast(case when {_EAST} > 180 then {_EAST} - 360 else {_EAST} end as double) as x1",
+    f"cast((s_suppkey * 3) % 100 - 50 + {_HEIGHT} as double) as y1", "cast(0.703125 as double) / power(2, s_suppkey % 15) as max_resolution_deg",
 ]
 
 JOBS = [
@@ -82,7 +86,7 @@ JOBS = [
     "concat(cast(s_nationkey as string), '.0') as version",
     "case s_suppkey % 3 when 0 then 'Ingestion_New' when 1 then 'Ingestion_Update' else 'Ingestion_Swap_Update' end as job_type",
     "concat('catalog-', cast(s_suppkey as string)) as catalog_id", "s_suppkey * 10 as task_id",
-    "cast(0.703125 as double) / 1024 as ingestion_resolution",
+    "cast(0.703125 as double) / power(2, s_suppkey % 20) as ingestion_resolution",
 ]
 
 # Times in milliseconds, of chunks and of whole layers.
@@ -109,7 +113,7 @@ _SQL = {
     "chunk_holes": f"select job_id, chunk_id, cast({HOLES} as bigint) as small_holes_count from features group by job_id, chunk_id",
     "task_events": f"select {', '.join(TASK_EVENTS)} from events",
     "parts": f"select {', '.join(PARTS)} from part",
-    "roi": f"select sha256(cast(n_nationkey as string)) as roi_id, {', '.join(ROI)} from nation",
+    "roi": f"select *, sha256(concat(cast(job_id as string), '|', cast(ordinal as string))) as roi_id from (select {', '.join(ROI)} from supplier) r",
     "jobs": f"select {', '.join(JOBS)} from supplier",
     "chunk_times": f"select {', '.join(CHUNK_TIMES)} from features group by job_id, chunk_id",
     "file_times": f"select {', '.join(FILE_TIMES)} from features group by job_id",
@@ -193,7 +197,7 @@ class Tables:
 
     @cached_property
     def roi(self) -> DataFrame:
-        return self.table("nation").selectExpr(*ROI)
+        return self.table("supplier").selectExpr(*ROI)
 
     @cached_property
     def jobs(self) -> DataFrame:

@@ -1,11 +1,14 @@
 """Greedy chunk assignment against a loop, for block sizes that force several rounds of chaining."""
 
+import json
 import random
 
 import pytest
+from pyspark.errors import PySparkException
 
 from layerlint.config import Limits
 from layerlint.operators import chunks
+from layerlint.operators.mapping import PART_COLUMNS
 
 
 def packed(features, limit):
@@ -41,3 +44,21 @@ def test_resume(spark):
     state = spark.createDataFrame([(1, 135), (2, None)], "job_id long, last_processed_feature long")
     left = {r.job_id: r["count"] for r in chunks.resume_features(frame, state).groupBy("job_id").count().collect()}
     assert left == {1: 1, 2: 137, 3: 137}
+
+
+def test_features_without_job_or_position_fail(spark):
+    for row in ((None, 0, 1), (1, None, 1)):
+        frame = spark.createDataFrame([(1, 0, 1), row], "job_id long, ordinal long, vertices int")
+        with pytest.raises(PySparkException, match="no job or no position"):
+            chunks.assign_chunks(frame).collect()
+    assert chunks.assign_chunks(spark.createDataFrame([], "job_id string, ordinal long, vertices int")).count() == 0
+
+
+def test_pages_of_a_chunk_without_vertices(spark):
+    rows = spark.range(1, 30_011).selectExpr(
+        "'j' as job_id", "0 as chunk_id", "id as ordinal", "cast(id as string) as id", *[f"cast(null as string) as {c}" for c in PART_COLUMNS if c != "id"])
+    jobs = spark.createDataFrame([("j", "Ingestion_New", "c", "r", "O", "1.0")], "job_id string, job_type string, catalog_id string, resource_id string, product_type string, version string")
+    pages = chunks.chunk_payload(rows.repartition(7), jobs).orderBy("page").collect()
+    assert [(p.page, p.parts) for p in pages] == [(0, 10_000), (1, 10_000), (2, 10_000), (3, 10)]
+    ids = [int(x["properties"]["id"]) for p in pages for x in json.loads(p.payload)["partsData"]]
+    assert ids == list(range(1, 30_011)) and {json.loads(p.payload)["catalogId"] for p in pages} == {"c"}

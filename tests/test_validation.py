@@ -175,3 +175,40 @@ def test_codes(spark):
     assert [tuple(r) for r in got] == [
         ("Metadata", "e_metadata", "metadata", "Metadata"), ("Small_Holes", "e_sm_holes", "smallHoles", "Contains small holes"),
         ("Unknown", "e_unknown", "unknown", "toy")]
+
+
+def test_cells_are_put_together_in_blocks_and_bounded(spark):
+    rnd = random.Random(8)
+    frame = spark.createDataFrame([feature(i, id=rnd.choice(["a", "b", None]), good=i % 3 > 0, vertices=rnd.choice([5, 9000])) for i in range(300)], FEATURE)
+    items = spark.createDataFrame([(1, 0, rnd.choice(["a", "b", "UNKNOWN_ID"]), rnd.randrange(3), i, rnd.choice(["Unknown", "NotListed", "Resolution"]), i % 2 == 0) for i in range(200)], ITEM)
+    table = errors.all_errors(frame, items)
+    whole = sorted(errors.errors_by_feature(table).collect(), key=str)
+    for bits in (0, 5):
+        assert sorted(errors.errors_by_feature(table, block_bits=bits).collect(), key=str) == whole
+    rows = table.collect()
+    for w in whole:
+        own = sorted((r.phase, r.ordinal, r.item, r.message) for r in rows if r.id == w.id and r.type == K.UNKNOWN)
+        assert w.e_unknown == ("; ".join(m for *_, m in own) or None)
+    bounded = {r.id: r for r in errors.errors_by_feature(table, most_bytes=1000).collect()}
+    long = errors.long_cell_messages(table, most_bytes=1000).collect()
+    listed = {}
+    for r in long:
+        listed[r.id, r.column_name] = listed.get((r.id, r.column_name), 0) + 1
+    assert listed
+    for w in whole:
+        for column in ("e_vertices", "e_metadata", "e_unknown"):
+            said = f"{listed.get((w.id, column))} messages in the error table"
+            assert bounded[w.id][column] == (said if (w.id, column) in listed else w[column])
+            assert ((w.id, column) in listed) == (len(w[column] or "") + 2 > 1000)
+
+
+def test_a_million_features_over_the_limit_in_one_cell(spark):
+    table = spark.range(1_000_000).selectExpr(
+        "1L as job_id", "0 as chunk_id", "'UNKNOWN_ID' as id", "0 as phase", "id as ordinal", "1L as item", "'Vertices' as type", "'e_vertices' as column_name",
+        "concat('result:', 3000 + id % 7, ', limit: 2500') as message", "id as feature_ordinal", "cast(null as boolean) as is_exceeded",
+    )
+    row = errors.errors_by_feature(table).first()
+    assert row.e_vertices == "1000000 messages in the error table" and errors.long_cell_messages(table).count() == 1_000_000
+    some = table.filter("ordinal < 50000")
+    text = errors.errors_by_feature(some).selectExpr("length(e_vertices) as n", "substring(e_vertices, -24) as tail").first()
+    assert text.n == 50_000 * 26 - 2 and text.tail == f"result:{3000 + 49_999 % 7}, limit: 2500"[-24:]
