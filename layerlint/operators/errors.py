@@ -118,60 +118,44 @@ def checker_counts(part_errors: DataFrame, features: DataFrame, limits: Limits =
 _VARYING = [K.VERTICES, K.METADATA, K.UNKNOWN]
 
 
-# Messages of one cell are put together in blocks of this many positions, as a power of two, and a cell takes this many bytes.
-BLOCK_BITS = 12
-CELL_BYTES = 16 << 20
+# Bytes of text that a report cell may take.
+CELL_BYTES = 1 << 20
 
 
-def errors_by_feature(errors: DataFrame, most_bytes: int = CELL_BYTES, block_bits: int = BLOCK_BITS) -> DataFrame:
+def errors_by_feature(errors: DataFrame, most_bytes: int = CELL_BYTES) -> DataFrame:
     """One wide row per (job, chunk, id): messages of each type in arrival order, and the feature they belong to.
 
-    Fixed messages are counted and repeated, so only varying ones are gathered: first the positions of a block, then the blocks
-    of a cell, so no task holds more than a block's messages and a cell's text. A cell of more than ``most_bytes`` is not put
-    together; it says how many messages ``long_cell_messages`` has for it. ``feature_ordinal`` is the first feature in error
+    Fixed messages are counted and repeated, so only varying ones are gathered, and only where their cell takes at most
+    ``most_bytes``: the sizes of cells are summed over the rows of an id as they stream by, before anything is put together.
+    A longer cell says how many messages ``long_cell_messages`` has for it. ``feature_ordinal`` is the first feature in error
     under the id. ``res_exceed`` comes from the last resolution item and is set only if that item points at the same feature.
     """
     columns = {t: c for t, c, _ in K.ERROR_TYPES}
     fixed = {t: m for t, m in K.CHECKER_MESSAGES.items() if t not in _VARYING}
     is_resolution = F.col("type") == K.RESOLUTION
-    gathered = F.collect_list(F.when(
-        F.col("type").isin(*_VARYING) | ~F.col("message").isin(*fixed.values()), F.struct("type", "phase", "ordinal", "item", "message"),
-    ))
-    # checker items (phase 2) follow their part; a part may have very many
-    place = ["phase", F.when(F.col("phase") < 2, F.shiftright("ordinal", block_bits)).otherwise(F.col("ordinal")).alias("__at"), F.shiftright("item", block_bits).alias("__part")]
-    blocks = errors.groupBy(*KEYS, *place).agg(
-        F.min(F.struct("phase", "ordinal", "item", "feature_ordinal")).alias("__first"),
-        F.max(F.when(is_resolution, F.struct("phase", "ordinal", "item", "is_exceeded", "feature_ordinal"))).alias("__last"),
-        F.sort_array(gathered).alias("__texts"),
-        *[F.count_if(F.col("type") == t).alias(f"__{columns[t]}") for t in columns],
-    )
+    size = F.octet_length("message") + len(K.MESSAGE_SEPARATOR)
     cell = Window.partitionBy(*KEYS)
-
-    def of_type(error_type: str) -> Column:
-        kept = F.filter("__texts", lambda x: x["type"] == error_type)
-        return F.when(F.size(kept) > 0, F.array_join(F.transform(kept, lambda x: x["message"]), K.MESSAGE_SEPARATOR))
-
-    blocks = blocks.withColumns({f"__text_{columns[t]}": of_type(t) for t in _VARYING}).drop("__texts")
-    blocks = blocks.withColumns({f"__size_{columns[t]}": F.sum(F.octet_length(f"__text_{columns[t]}") + len(K.MESSAGE_SEPARATOR)).over(cell) for t in _VARYING})
-
-    def in_order(column: str) -> Column:
-        text = F.col(f"__text_{column}")
-        fits = text.isNotNull() & (F.col(f"__size_{column}") <= most_bytes)
-        return F.sort_array(F.collect_list(F.when(fits, F.struct("phase", "__at", "__part", text.alias("text"))))).alias(f"__all_{column}")
-
-    grouped = blocks.groupBy(*KEYS).agg(
-        F.min("__first")["feature_ordinal"].alias("feature_ordinal"), F.max("__last").alias("last_res"),
-        *[F.sum(f"__{c}").alias(f"__{c}") for c in columns.values()],
-        *[in_order(columns[t]) for t in _VARYING], *[F.max(f"__size_{columns[t]}").alias(f"__size_{columns[t]}") for t in _VARYING],
+    # one shuffle by id serves the sizes and the groups; rows of an id wait on disk, not in memory, while sizes are summed
+    sized = errors.withColumns({f"__size_{columns[t]}": F.sum(F.when(F.col("type") == t, size)).over(cell) for t in _VARYING})
+    fits = F.lit(False)
+    for t in _VARYING:
+        fits = fits | ((F.col("type") == t) & (F.col(f"__size_{columns[t]}") <= most_bytes))
+    grouped = sized.groupBy(*KEYS).agg(
+        F.min(F.struct("phase", "ordinal", "item", "feature_ordinal"))["feature_ordinal"].alias("feature_ordinal"),
+        F.max(F.when(is_resolution, F.struct("phase", "ordinal", "item", "is_exceeded", "feature_ordinal"))).alias("last_res"),
+        F.sort_array(F.collect_list(F.when(fits, F.struct("type", "phase", "ordinal", "item", "message")))).alias("texts"),
+        *[F.count_if(F.col("type") == t).alias(f"__{c}") for t, c in columns.items()],
+        *[F.max(f"__size_{columns[t]}").alias(f"__size_{columns[t]}") for t in _VARYING],
     )
 
-    def varying(column: str) -> Column:
-        parts = F.col(f"__all_{column}")
+    def varying(error_type: str) -> Column:
+        column = columns[error_type]
+        kept = F.filter("texts", lambda x: x["type"] == error_type)
         long = F.concat(F.col(f"__{column}").cast("string"), F.lit(" messages in the error table"))
-        text = F.when(F.size(parts) > 0, F.array_join(F.transform(parts, lambda x: x["text"]), K.MESSAGE_SEPARATOR))
+        text = F.when(F.size(kept) > 0, F.array_join(F.transform(kept, lambda x: x["message"]), K.MESSAGE_SEPARATOR))
         return F.when(F.col(f"__size_{column}") > most_bytes, long).otherwise(text)
 
-    cells = {columns[t]: varying(columns[t]) for t in _VARYING}
+    cells = {columns[t]: varying(t) for t in _VARYING}
     cells |= {columns[t]: repeat_joined(message, F.col(f"__{columns[t]}")) for t, message in fixed.items()}
     same_feature = F.col("last_res.feature_ordinal") == F.col("feature_ordinal")
     exceeded = F.when(F.coalesce("last_res.is_exceeded", F.lit(False)), "true").otherwise("false")

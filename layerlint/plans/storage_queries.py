@@ -187,6 +187,24 @@ def _running_counts_stream(t: Tables) -> DataFrame:
     return live_validation.latest_counts(t.spark.read.parquet(path))
 
 
+START = 1_704_067_200_000_000  # 2024-01-01, in microseconds; a watermark begins at 1970
+
+
+@query("counted_jobs_stream", over_checked("""select job_id, count(*) as features, count(*) filter (where skipped) as vertices,
+    count(*) filter (where issues <> '') as metadata from checked group by job_id"""))
+def _counted_jobs_stream(t: Tables) -> DataFrame:
+    """Every job gets its verdict at some time of the stream; what comes after it is a further life."""
+    path, staged, ends = (new_folder(t.spark, x) for x in ("stream-counts", "features", "ends"))
+    timed = t.features.drop("geometry", "type").withColumn("ts", F.timestamp_micros(START + F.col("ordinal") * 1_000_000))
+    timed.write.parquet(staged)
+    t.jobs.select("job_id", F.timestamp_micros(F.lit(START + 600_000_000)).alias("ts")).write.parquet(ends)
+    features = t.spark.readStream.schema(timed.schema).option("maxFilesPerTrigger", 4).parquet(staged)
+    verdicts = t.spark.readStream.schema("job_id bigint, ts timestamp").parquet(ends)
+    counted = live_validation.counted_jobs(features, verdicts, "1 hour", 3600, parts=4)
+    live_validation.counted_jobs_stream(counted, path, new_folder(t.spark, "checkpoint")).awaitTermination()
+    return live_validation.ended_counts(t.spark.read.parquet(path)).drop("ended")
+
+
 def _event_stream(t: Tables) -> DataFrame:
     from layerlint.plans.views import TASK_EVENTS
 

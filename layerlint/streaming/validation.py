@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from layerlint import constants as K
 from layerlint.config import LIMITS, Limits
@@ -51,19 +53,84 @@ def running_error_counts(errors: DataFrame, watermark: str | None = None, time:
     return errors.withWatermark(time, watermark).groupBy("job_id", F.window(time, "1 day").alias("day")).agg(*counts)
 
 
-def running_counts_stream(features: DataFrame, path: str, checkpoint: str, limits: Limits = LIMITS, **trigger) -> StreamingQuery:
-    """Store the counters of the jobs each batch touches; ``latest_counts`` reads the current ones."""
+PARTS = 16  # a job's rows go to so many states, so that a job with most rows is not one task
+_COUNTS = ("features", "vertices", "metadata")
+_OUT = "job_id {0}, part int, life timestamp, features bigint, vertices bigint, metadata bigint, ended boolean"
+
+
+def counted_jobs(features: DataFrame, ends: DataFrame, delay: str, idle_seconds: int, limits: Limits = LIMITS, parts: int = PARTS) -> DataFrame:
+    """Counters per job over a stream whose state ends with the job.
+
+    ``features`` has ``ts`` and ``ordinal`` besides the checked columns; ``ends`` has a row (job_id, ts) when a job gets its
+    verdict. A job's state is dropped at that row, or once the watermark (``delay`` behind the latest time) has passed its last
+    feature by ``idle_seconds``, whatever the day. Features that come later begin another ``life`` of the job, named by its
+    first time; ``ended_counts`` adds lives and parts up, so nothing is lost by an early end. Rows (job_id, part, life,
+    counters so far, ended) come out in update mode.
+    """
+    job = features.schema["job_id"].dataType.simpleString()
+    part = F.pmod(F.xxhash64("ordinal"), F.lit(parts)).cast("int")
+    ours = check_features(features, limits).select(
+        "job_id", part.alias("part"), F.col("ts").cast("timestamp").alias("ts"), F.lit(1).cast("bigint").alias("features"),
+        F.col("skipped").cast("bigint").alias("vertices"), F.col("broken").cast("bigint").alias("metadata"), F.lit(False).alias("done"),
+    )
+    zero = F.lit(0).cast("bigint")
+    marks = ends.select(
+        F.col("job_id").cast(job), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), F.col("ts").cast("timestamp").alias("ts"),
+        *[zero.alias(c) for c in _COUNTS], F.lit(True).alias("done"),
+    )
+
+    def fold(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        life, latest, *counts = state.get if state.exists else (None, None, 0, 0, 0)
+        ended = state.hasTimedOut
+        if not ended:
+            for frame in frames:
+                times = frame["ts"].astype("datetime64[us]").astype("int64")
+                given = times[~frame["done"]]
+                if len(given):
+                    life = int(given.min()) if life is None else life
+                    latest = max(latest or 0, int(given.max()))
+                counts = [n + int(frame[c].sum()) for n, c in zip(counts, _COUNTS)]
+                ended = ended or bool(frame["done"].any())
+        if ended:
+            state.remove()
+        if life is None:  # an end without features
+            return
+        if not ended:
+            state.update((life, latest, *counts))
+            state.setTimeoutTimestamp(max(latest // 1000 + idle_seconds * 1000, state.getCurrentWatermarkMs() + 1))
+        yield pd.DataFrame({"job_id": [key[0]], "part": [key[1]], "life": pd.to_datetime([life], unit="us"), **{c: [n] for c, n in zip(_COUNTS, counts)}, "ended": [ended]})
+
+    events = ours.unionByName(marks).withWatermark("ts", delay)
+    return events.groupBy("job_id", "part").applyInPandasWithState(
+        fold, _OUT.format(job), "life bigint, latest bigint, features bigint, vertices bigint, metadata bigint", "update", GroupStateTimeout.EventTimeTimeout,
+    )
+
 
+def counted_jobs_stream(counted: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
+    """Store what ``counted_jobs`` gives out; a batch that is repeated after a restart replaces itself."""
+    return _stored(counted, path, checkpoint, trigger)
+
+
+def ended_counts(stored: DataFrame) -> DataFrame:
+    """Counters per job from the stored rows: the latest of each part and life, added up. ``ended`` if no life of the job is open."""
+    lives = stored.groupBy("job_id", "part", "life").agg(*[F.max(c).alias(c) for c in _COUNTS], F.max("ended").alias("ended"))
+    return lives.groupBy("job_id").agg(*[F.sum(c).alias(c) for c in _COUNTS], F.min("ended").alias("ended"))
+
+
+def _stored(rows: DataFrame, path: str, checkpoint: str, trigger: dict) -> StreamingQuery:
     def store(batch: DataFrame, batch_id: int) -> None:
         (
             batch.withColumn("batch", F.lit(batch_id)).write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path)
         )
 
-    return (
-        running_counts(features, limits).writeStream.outputMode("update").foreachBatch(store)
-        .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
-    )
+    return rows.writeStream.outputMode("update").foreachBatch(store).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+
+
+def running_counts_stream(features: DataFrame, path: str, checkpoint: str, limits: Limits = LIMITS, **trigger) -> StreamingQuery:
+    """Store the counters of the jobs each batch touches; ``latest_counts`` reads the current ones."""
+
+    return _stored(running_counts(features, limits), path, checkpoint, trigger)
 
 
 def latest_counts(stored: DataFrame) -> DataFrame:

@@ -177,14 +177,12 @@ def test_codes(spark):
         ("Unknown", "e_unknown", "unknown", "toy")]
 
 
-def test_cells_are_put_together_in_blocks_and_bounded(spark):
+def test_cells_are_bounded(spark):
     rnd = random.Random(8)
     frame = spark.createDataFrame([feature(i, id=rnd.choice(["a", "b", None]), good=i % 3 > 0, vertices=rnd.choice([5, 9000])) for i in range(300)], FEATURE)
     items = spark.createDataFrame([(1, 0, rnd.choice(["a", "b", "UNKNOWN_ID"]), rnd.randrange(3), i, rnd.choice(["Unknown", "NotListed", "Resolution"]), i % 2 == 0) for i in range(200)], ITEM)
     table = errors.all_errors(frame, items)
     whole = sorted(errors.errors_by_feature(table).collect(), key=str)
-    for bits in (0, 5):
-        assert sorted(errors.errors_by_feature(table, block_bits=bits).collect(), key=str) == whole
     rows = table.collect()
     for w in whole:
         own = sorted((r.phase, r.ordinal, r.item, r.message) for r in rows if r.id == w.id and r.type == K.UNKNOWN)
@@ -209,6 +207,6 @@ def test_a_million_features_over_the_limit_in_one_cell(spark):
     )
     row = errors.errors_by_feature(table).first()
     assert row.e_vertices == "1000000 messages in the error table" and errors.long_cell_messages(table).count() == 1_000_000
-    some = table.filter("ordinal < 50000")
+    some = table.filter("ordinal < 40000")
     text = errors.errors_by_feature(some).selectExpr("length(e_vertices) as n", "substring(e_vertices, -24) as tail").first()
-    assert text.n == 50_000 * 26 - 2 and text.tail == f"result:{3000 + 49_999 % 7}, limit: 2500"[-24:]
+    assert text.n == 40_000 * 26 - 2 and text.tail == f"result:{3000 + 39_999 % 7}, limit: 2500"[-24:]
