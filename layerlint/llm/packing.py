@@ -151,7 +151,8 @@ class Encoder(dict):
         super().__init__()
         from tokenizers import Tokenizer, pre_tokenizers
 
-        self.tokenizer, self.model, self.letters = Tokenizer.from_file(path), Tokenizer.from_file(path).model, {}
+        self.tokenizer, self.letters = Tokenizer.from_file(path), {}
+        self.model = self.tokenizer.model
         level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.bytes = {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(0x80, 0x100)}
 
@@ -189,6 +190,16 @@ class Encoder(dict):
                 yield row, b"".join(map(self.__getitem__, part.split()))
 
 
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder_of(path: str) -> Encoder:
+    """The encoder of a file, kept between the tasks of a worker."""
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
+
+
 def _pieces(encoded: Iterable[tuple[int, bytes]], room: int, end_id: int) -> Iterator[tuple[int, int, int, bytes]]:
     """(text, piece, start, ids) of texts whose ids come in parts; each text gets the end id."""
     row, waiting, piece, end = None, bytearray(), 0, end_id.to_bytes(4, "little")
@@ -225,7 +236,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, room: int = ROOM, end_id: int
     names = ["key", "piece", "start", "length", "ids_crc32", *["ids"] * with_ids]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        encoder = encoder_of(tokenizer)
         for batch in slices(batches, "text"):
             found = []
             pieces = _pieces(encoder.encode(utf8(batch.column("text"))), room, end_id)
