@@ -77,16 +77,30 @@ def from_map(column: Column, name: str) -> Attribute:
     return Attribute(kind.otherwise("undefined"), text)
 
 
+def variant_kind(value: Column) -> Column:
+    """Kind of a ``VARIANT`` value; NULL, as of a missing field, is undefined."""
+    type_name = F.schema_of_variant(value)
+    chain = F.when(type_name.isNull(), "undefined")
+    for variant_type, kind in _VARIANT_KINDS.items():
+        chain = chain.when(type_name == variant_type, kind)
+    chain = chain.when(type_name.startswith("DECIMAL"), "number").when(type_name.startswith("ARRAY"), "array")
+    return chain.otherwise("object")
+
+
 def from_variant(column: Column, name: str) -> Attribute:
     """A field of a ``VARIANT`` object, which keeps the type each value had in its JSON text."""
     path = f"$.{name}"
-    type_name = F.schema_of_variant(F.try_variant_get(column, path, "variant"))
-    kind = F.lit("undefined")
-    chain = F.when(type_name.isNull(), kind)
-    for variant_type, value in _VARIANT_KINDS.items():
-        chain = chain.when(type_name == variant_type, value)
-    chain = chain.when(type_name.startswith("DECIMAL"), "number").when(type_name.startswith("ARRAY"), "array")
-    return Attribute(chain.otherwise("object"), F.try_variant_get(column, path, "string"))
+    return Attribute(variant_kind(F.try_variant_get(column, path, "variant")), F.try_variant_get(column, path, "string"))
+
+
+def properties_kind(features: DataFrame, properties: str = "properties") -> Column | None:
+    """Kind of the ``properties`` of a feature as a whole; None where attributes are flat columns, which are always there."""
+    types = {f.name: f.dataType for f in features.schema.fields}
+    if isinstance(types.get(properties), T.VariantType):
+        return variant_kind(F.col(properties))
+    if isinstance(types.get(properties), T.MapType):
+        return F.when(F.col(properties).isNull(), "undefined").otherwise("object")
+    return None
 
 
 def attributes_of(features: DataFrame, properties: str = "properties") -> dict[str, Attribute]:

@@ -7,13 +7,13 @@ other. From the same rules come the full issue list (``metadata_issues``) and th
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from layerlint import constants as K
 from layerlint.config import LIMITS, Bounds, Limits
-from layerlint.functions.attributes import Attribute, attributes_of
+from layerlint.functions.attributes import Attribute, attributes_of, properties_kind, variant_kind
 from layerlint.functions.geometry import is_polygonal
 from layerlint.functions.parsing import attribute_date, attribute_number, optional_text, parse_csv_list
 from layerlint.functions.text import any_of, feature_id, format_issues
@@ -130,7 +130,14 @@ def shape_rules(features: DataFrame, check_geometry: Column) -> list[Rule]:
     if "type" in columns:
         not_feature = F.coalesce(F.col("type") != "Feature", F.lit(True))
         rules.append(Rule(not_feature, "type", F.lit('Invalid literal value, expected "Feature"'), "invalid_literal"))
-    if "bbox" in columns:
+    if "raw_id" in columns:
+        rules.append(Rule(~variant_kind(F.col("raw_id")).isin("string", "number", "undefined"), "id", F.lit("Invalid input"), "invalid_union"))
+    if "raw_bbox" in columns:
+        # all elements are numbers, and four or six of them
+        numbers = F.schema_of_variant("raw_bbox").rlike(r"^ARRAY<(BIGINT|DOUBLE|FLOAT|DECIMAL\(.*\))>$")
+        size = F.size(F.try_variant_get("raw_bbox", "$", "array<double>"))
+        rules.append(Rule(F.col("raw_bbox").isNotNull() & ~F.coalesce(numbers & size.isin(4, 6), F.lit(False)), "bbox", F.lit("Invalid input"), "invalid_union"))
+    elif "bbox" in columns:
         bad_size = F.coalesce(~F.size("bbox").isin(4, 6) | F.exists("bbox", lambda n: n.isNull()), F.lit(False))
         rules.append(Rule(F.col("bbox").isNotNull() & bad_size, "bbox", F.lit("Invalid input"), "invalid_union"))
     if "geometry" in columns:
@@ -155,11 +162,17 @@ def is_skipped(features: DataFrame, limits: Limits = LIMITS) -> Column:
 
 
 def feature_rules(features: DataFrame, limits: Limits = LIMITS) -> list[Rule]:
-    """All rules of a feature; the geometry of an over-limit feature is not looked at."""
-    return [
-        *shape_rules(features, ~is_skipped(features, limits)),
-        *property_rules(attributes_of(features), limits.bounds),
-    ]
+    """All rules of a feature; the geometry of an over-limit feature is not looked at.
+
+    ``properties`` that are missing or no object raise one issue, and none per attribute.
+    """
+    rules = property_rules(attributes_of(features), limits.bounds)
+    kind = properties_kind(features)
+    if kind is not None:
+        there = kind == "object"
+        message = F.when(kind == "undefined", F.lit("Required")).otherwise(F.concat(F.lit("Expected object, received "), kind))
+        rules = [Rule(~there, "properties", message, "invalid_type"), *[replace(r, broken=there & r.broken) for r in rules]]
+    return [*shape_rules(features, ~is_skipped(features, limits)), *rules]
 
 
 def _checked(features: DataFrame, limits: Limits) -> tuple[DataFrame, list[Rule]]:

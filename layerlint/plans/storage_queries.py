@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from layerlint import constants as K
 from layerlint.functions.geometry import count_vertices
-from layerlint.operators import errors, export
+from layerlint.functions.text import format_issues
+from layerlint.operators import errors, export, schema
 from layerlint.plans.attribute_queries import ERROR_COLUMNS, FEATURE_ERRORS_SQL, METER_SQL, over_checked
 from layerlint.plans.job_queries import CANDIDATES_SQL
 from layerlint.plans.query import query
@@ -39,6 +40,32 @@ def _read_features(t: Tables) -> DataFrame:
     )
 
 
+LINES = """case when p_partkey % 13 = 0 then concat('{"broken', cast(p_partkey as string)) when p_partkey % 17 = 0 then concat('{"job_id":"00', cast(p_partkey as string), '","type":"Feature"}')
+    when p_partkey % 19 = 0 then concat('{"ordinal":', cast(p_partkey as string), ',"type":"Feature"}')
+    else concat('{"job_id":"00', cast(p_size as string), '","ordinal":', cast(p_partkey as string), ',"type":"Feature","id":', case p_partkey % 4 when 0 then '7' when 1 then '"a"' when 2 then '{}' else 'null' end,
+      ',"bbox":', case p_partkey % 3 when 0 then '[1,2,3,4.5]' when 1 then '[1,2,"3",4]' else '[1,2,3]' end, case when p_partkey % 5 = 0 then ',"properties":null}' when p_partkey % 7 = 0 then '}' else ',"properties":"x"}' end) end"""
+
+
+@query("broken_lines", f"""select line, case when line like '{{"broken%' then 'not a JSON object of a feature' when line like '{{"job%' then 'no position' else 'no job' end as reason
+    from (select {LINES} as line, p_partkey from part) t where p_partkey % 13 = 0 or p_partkey % 17 = 0 or p_partkey % 19 = 0""")
+def _broken_lines(t: Tables) -> DataFrame:
+    path = new_folder(t.spark, "geojson")
+    t.table("part").selectExpr(f"{LINES} as value").write.text(path)
+    return feature_source.broken_lines(t.spark, path)
+
+
+@query("line_shape_issues", """select concat('00', cast(p_size as string)) as job_id, cast(p_partkey as bigint) as ordinal, concat_ws('; ',
+    case when p_partkey % 4 > 1 then 'id: Invalid input (code: invalid_union)' end, case when p_partkey % 3 > 0 then 'bbox: Invalid input (code: invalid_union)' end,
+    'geometry: Invalid input (code: invalid_union)', case when p_partkey % 5 = 0 then 'properties: Expected object, received null (code: invalid_type)'
+      when p_partkey % 7 = 0 then 'properties: Required (code: invalid_type)' else 'properties: Expected object, received string (code: invalid_type)' end) as issues
+    from part where p_partkey % 13 <> 0 and p_partkey % 17 <> 0 and p_partkey % 19 <> 0""")
+def _line_shape_issues(t: Tables) -> DataFrame:
+    path = new_folder(t.spark, "geojson")
+    t.table("part").selectExpr(f"{LINES} as value").write.text(path)
+    checked = schema.metadata_issues(feature_source.read_features(t.spark, path, "geojsonl"))
+    return checked.select("job_id", "ordinal", format_issues(F.col("issues")).alias("issues"))
+
+
 FLAGS = ", ".join(f"bool_or(path = concat(base, '{e}')) as has{e[1:]}" for e in K.LAYER_EXTENSIONS)
 ABSENT = ", ".join(f"case when not has{e[1:]} then concat(base, '{e}') end" for e in K.LAYER_EXTENSIONS)
 
