@@ -267,3 +267,12 @@ def _pod_rates_stream(t: Tables) -> DataFrame:
     live_metrics.store_closed_windows(windows, path, new_folder(t.spark, "checkpoint")).awaitTermination()
     found = t.spark.read.parquet(path).withColumn("window_micros", F.unix_micros("window_start")).drop("window_start")
     return found.withColumns({c: F.round(c, 9) for c in ("success_per_second", "failure_per_second")})
+
+
+@query("task_counters_stream", with_views("task_events", f"""select epoch_us(time_bucket(interval '5 minutes', ts)) as window_micros, job_type, task_type, pod, count(*) as processed,
+    count(*) filter (where status = 'Completed') as success, count(*) filter (where status = 'Failed') as failure from task_events
+    group by time_bucket(interval '5 minutes', ts), job_type, task_type, pod having time_bucket(interval '5 minutes', ts) + interval '5 minutes' <= {CLOSED}"""))
+def _task_counters_stream(t: Tables) -> DataFrame:
+    path = new_folder(t.spark, "stream-counters")
+    live_metrics.store_closed_windows(live_metrics.live_task_counters(_event_stream(t)), path, new_folder(t.spark, "checkpoint")).awaitTermination()
+    return t.spark.read.parquet(path).withColumn("window_micros", F.unix_micros("window_start")).drop("window_start")
