@@ -11,7 +11,10 @@
    comparisons per member.
 4. The matrix has a row (shingle, group) per shingle of a group's union. A node queries all other groups that its prefix meets.
    A group opens only if the shingles of the query that its union lacks are few enough for a link and if lengths agree.
-5. The query is compared with the members of opened groups exactly, on whole sets.
+5. The query is compared with the members of opened groups exactly, on whole sets, in rounds: the first asks about two members
+   of each group, and each later one as many as all before it. A link joins two groups, and what lies inside one component is
+   not asked again. So a query that has many links into a large loose group meets a few of its members and not all. A member
+   is met only through a prefix shingle that leaves both sets room for enough common ones.
 
 Every link between different groups passes 4 and 5, links inside a group cannot change components, so components are exact.
 """
@@ -34,6 +37,7 @@ RARE = 8  # nodes that have a shingle of step A
 LEADERS = 4  # independent groupings
 FLUSH = 1 << 19  # listed shingles packed at a time
 SALTS = 64
+PARTS = 16  # of a group's queries in a round
 
 
 def node_of(shingles: np.ndarray) -> int:
@@ -172,13 +176,13 @@ def _sets(width: int):
 
 
 def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets are similar."""
+    """The rows of ``pairs`` (a, b, ...) whose whole sets are similar."""
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
     return pairs.join(left, "a").join(right, "b").withColumn("both", both).filter(
         100 * F.col("both") >= percent * (F.size("x") + F.size("y") - F.col("both"))
-    ).select("a", "b")
+    ).select(*pairs.columns)
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 75) -> DataFrame:
@@ -271,10 +275,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     lengths = (100 * F.col("high") >= percent * F.col("n")) & (100 * F.col("n") >= percent * F.col("low"))
     # each pair of groups is asked from the one with the larger name; a large group has a small one
     left, right = member.alias("q"), cells.alias("c")
-    asked = written(
+    through = written(
         left.join(right, (F.col("q.token") == F.col("c.token")) & (F.col("c.other") < F.col("q.grp")) & enough & lengths)
-        .select("node", "n", "other", "members").distinct(), "jaccard-asked",
+        .select("node", "n", "room", "grp", "q.token", "other", "members"), "jaccard-asked",
     )
+    asked = through.select("node", "n", "grp", "other", "members").distinct()
     many = asked.filter("members > 1").select("node", "n", "other")
     asking = written(many.select("node").distinct(), "jaccard-asking")
     asked_of = many.select("other").distinct()
@@ -282,17 +287,45 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     hits = known.join(asking, "node").select("node", "token").join(many, "node").join(union, ["token", "other"]).groupBy("node", "other").agg(F.count(F.lit(1)).alias("hits"))
     # shingles of the query that the union lacks, of the lower part only: a lower bound of all. A short query may have none
     # there in common, or none at all, and still pass
-    qualifying = (
+    passed = (
         many.join(hits, ["node", "other"], "left").fillna(0, ["hits"]).join(state.select("node", "near", "most"), "node")
-        .filter(F.col("near") - F.col("hits") <= F.col("most") - 1).select("node", "n", "other")
-        .union(asked.filter("members = 1").select("node", "n", "other"))
+        .filter(F.col("near") - F.col("hits") <= F.col("most") - 1).select("node", "other")
     )
-    # all of an opened group: its members are alike, so most of them share a prefix shingle with the query or none does
-    mates = members.select(F.col("grp").alias("other"), F.col("node").alias("b"), F.col("n").alias("m"))
-    compared = qualifying.join(mates, "other").filter((100 * F.col("n") >= percent * F.col("m")) & (100 * F.col("m") >= percent * F.col("n")))
-    more = written(_similar(compared.select(F.col("node").alias("a"), "b"), sets, percent), "jaccard-links")
-
-    found = components(links.union(more), "jaccard-components")
+    single = asked.filter("members = 1").select(F.col("node").alias("a"), F.col("other").alias("b"), "grp", "other")
+    similar = written(_similar(single, sets, percent), "jaccard-single")
+    waiting = asked.filter("members > 1").join(passed, ["node", "other"]).select("node", "grp", "other")
+    # a group's members in the order of a hash: round k asks those before place 2, 4, 8, ... that no round before it asked
+    place = F.pmod(F.xxhash64(F.lit("turn"), "node"), F.lit(1 << 32)) / F.lit(float(1 << 32)) * F.col("members")
+    turn = F.greatest(F.floor(F.log2(place)), F.lit(0)).cast("int")
+    turn = F.when(F.col("members") > 2, F.coalesce(turn, F.lit(0))).otherwise(0)
+    hit = through.filter("members > 1")
+    mates = member.select("token", F.col("grp").alias("other"), "node", "n", "room").join(hit.select("token", "other", "members").distinct(), ["token", "other"])
+    mates = written(mates.select("token", "other", F.col("node").alias("b"), F.col("n").alias("m"), F.col("room").alias("rest"), turn.alias("turn")), "jaccard-mates")
+    fits = (100 + percent) * F.least("room", "rest") >= percent * (F.col("n") + F.col("m"))
+    rounds = mates.agg(F.max("turn")).first()[0]
+    tied = None
+    for k in range(0 if rounds is None else rounds + 1):
+        links = links.union(similar.select("a", "b"))
+        pairs = similar.select(F.col("grp").alias("a"), F.col("other").alias("b"))
+        tied = pairs if tied is None else tied.union(pairs)
+        label = components(tied, "jaccard-tied")
+        one, two = label.select(F.col("node").alias("grp"), F.col("component").alias("one")), label.select(F.col("node").alias("other"), F.col("component").alias("two"))
+        waiting = written(
+            waiting.join(one, "grp", "left").join(two, "other", "left").filter(F.coalesce("one", "grp") != F.coalesce("two", "other")).select("node", "grp", "other"),
+            "jaccard-waiting",
+        )
+        if waiting.isEmpty():
+            break
+        now = mates.filter(F.col("turn") == k).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+        part = F.pmod(F.xxhash64("node"), F.lit(PARTS)).cast("int")
+        asker = hit.select("node", "n", "room", "token", "other", part.alias("part")).join(waiting, ["node", "other"]).alias("q")
+        same = (F.col("q.token") == F.col("mate.token")) & (F.col("q.other") == F.col("mate.other")) & (F.col("q.part") == F.col("mate.part"))
+        alike = (100 * F.col("n") >= percent * F.col("m")) & (100 * F.col("m") >= percent * F.col("n"))
+        tried = asker.join(now.alias("mate"), same & alike & fits).select(F.col("node").alias("a"), "b", "grp", "q.other").distinct()
+        similar = written(_similar(tried, sets, percent), "jaccard-links")
+    links = links.union(similar.select("a", "b"))
+
+    found = components(links, "jaccard-components")
     best = nodes.join(found, "node").groupBy("component").agg(F.min("first_key").alias("component_id"))
     # texts without a link have the first key of their copies
     ids = nodes.join(found.join(best, "component").select("node", "component_id"), "node", "left").select("node", F.coalesce("component_id", "first_key").alias("component_id"))

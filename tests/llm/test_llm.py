@@ -163,6 +163,20 @@ def test_jaccard_short_texts_in_groups(spark):
     assert sorted(got) == sorted(brute_components(rows))
 
 
+def test_jaccard_large_loose_group(spark):
+    """Near copies of one text around the threshold: many fall out of the first groups, some link to few members or to none."""
+    rng = np.random.default_rng(5)
+    base, texts = [f"b{i}" for i in range(160)], []
+    for i in range(240):
+        words = list(base)
+        for at in rng.choice(160, int(rng.integers(0, 9)), replace=False):
+            words[at] = f"x{rng.integers(0, 40)}"
+        texts.append(" ".join(words))
+    got = [(r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard.near_duplicates(table(spark, texts)).collect()]
+    assert sorted(got) == sorted(brute_components(list(enumerate(texts))))
+    assert 1 < len({c for _, _, c in got}) < 200
+
+
 def test_graph_components(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 101), (102, 101), (200, 200)]
     found = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
