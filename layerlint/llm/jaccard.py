@@ -11,8 +11,8 @@
    comparisons per member.
 4. The matrix has a row (shingle, group) per shingle of a group's union. A node queries all other groups that its prefix meets.
    A group opens only if the shingles of the query that its union lacks are few enough for a link and if lengths agree.
-5. The query is compared with the members of opened groups exactly, on whole sets, in rounds: the first asks about two members
-   of each group, and each later one as many as all before it. A link joins two groups, and what lies inside one component is
+5. The query is compared with the members of opened groups exactly, on whole sets, in rounds: the first asks about four members
+   of each group, and each later one three times as many as all before it. A link joins two groups, and what lies inside one component is
    not asked again. So a query that has many links into a large loose group meets a few of its members and not all. A member
    is met only through a prefix shingle that leaves both sets room for enough common ones.
 
@@ -294,10 +294,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     single = asked.filter("members = 1").select(F.col("node").alias("a"), F.col("other").alias("b"), "grp", "other")
     similar = written(_similar(single, sets, percent), "jaccard-single")
     waiting = asked.filter("members > 1").join(passed, ["node", "other"]).select("node", "grp", "other")
-    # a group's members in the order of a hash: round k asks those before place 2, 4, 8, ... that no round before it asked
+    # a group's members in the order of a hash: round k asks those before place 4, 16, 64, ... that no round before it asked
     place = F.pmod(F.xxhash64(F.lit("turn"), "node"), F.lit(1 << 32)) / F.lit(float(1 << 32)) * F.col("members")
-    turn = F.greatest(F.floor(F.log2(place)), F.lit(0)).cast("int")
-    turn = F.when(F.col("members") > 2, F.coalesce(turn, F.lit(0))).otherwise(0)
+    turn = F.greatest(F.floor(F.log2(place) / 2), F.lit(0)).cast("int")
+    turn = F.when(F.col("members") > 4, F.coalesce(turn, F.lit(0))).otherwise(0)
     hit = through.filter("members > 1")
     mates = member.select("token", F.col("grp").alias("other"), "node", "n", "room").join(hit.select("token", "other", "members").distinct(), ["token", "other"])
     mates = written(mates.select("token", "other", F.col("node").alias("b"), F.col("n").alias("m"), F.col("room").alias("rest"), turn.alias("turn")), "jaccard-mates")
