@@ -20,6 +20,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from layerlint.llm.words import mix, shingle_sets, slices, utf8, window_hashes, word_hashes
 from layerlint.session import prepare, written
@@ -29,6 +30,7 @@ WIDTH = 5
 BATCH_ITEMS = 1024  # items searched in one pass over the documents
 BATCH_WORDS = 1 << 18
 ROWS = 8192  # words whose signs are summed at a time
+SIDE = 128  # of these, words in a row of the sums
 _FLIPS = np.array([0, *[1 << i for i in range(16)], *[(1 << i) | (1 << j) for i, j in combinations(range(16), 2)]], dtype=np.uint32)
 
 
@@ -54,27 +56,40 @@ def pairs_of(words: np.ndarray) -> np.ndarray:
     return mix(words[:-1] * np.uint64(3) + words[1:]) if len(words) > 1 else words
 
 
-def fingerprints(features: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
-    """SimHash of ``length`` features from each start. Ties of a bit are zero."""
-    out = np.empty(len(starts), np.uint64)
-    order = np.argsort(starts, kind="stable") if len(starts) and (np.diff(starts) < 0).any() else None
-    s = starts if order is None else starts[order]
-    at = 0
-    while at < len(s):
-        base = int(s[at])
-        till = int(np.searchsorted(s, base + max(ROWS - length, 1), side="left"))
-        block = features[base : int(s[till - 1]) + length]
-        bits = np.unpackbits(block.view(np.uint8).reshape(-1, 8), axis=1)
-        sums = np.zeros((len(block) + 1, 64), np.int32)
-        np.cumsum(bits, axis=0, dtype=np.int32, out=sums[1:])
-        own = s[at:till] - base
-        ones = sums[own + length] - sums[own]
-        out[at:till] = np.packbits(2 * ones > length, axis=1).view(np.uint64).ravel()
-        at = till
-    if order is not None:
-        back = np.empty_like(out)
-        back[order] = out
-        return back
+def cumulated(features: np.ndarray) -> np.ndarray:
+    """How many of the first n features have each of the 64 bits set, for n = 0, 1, ...
+
+    Sums run inside blocks of ``SIDE`` features, all blocks at a time, and then over the blocks.
+    """
+    blocks = -(-len(features) // SIDE)
+    whole = np.zeros(blocks * SIDE, np.uint64)
+    whole[: len(features)] = features
+    sums = np.zeros((blocks * SIDE + 1, 64), np.int32)
+    inside = sums[1:].reshape(blocks, SIDE, 64)
+    inside[...] = np.unpackbits(whole.view(np.uint8).reshape(-1, 8), axis=1).reshape(blocks, SIDE, 64)
+    for i in range(1, SIDE):
+        inside[:, i] += inside[:, i - 1]
+    inside[1:] += np.cumsum(inside[:-1, -1], axis=0, dtype=np.int32)[:, None]
+    return sums
+
+
+def fingerprints(features: np.ndarray, wanted: list[tuple[np.ndarray, int]]) -> list[np.ndarray]:
+    """For each (starts in ascending order, length): SimHash of ``length`` features from each start. Ties of a bit are zero.
+
+    The features are cumulated once, a stretch at a time, for all lengths.
+    """
+    out = [np.empty(len(starts), np.uint64) for starts, _ in wanted]
+    longest = max((length for _, length in wanted), default=1)
+    rows = max(ROWS, longest)
+    for base in range(0, len(features), rows):
+        parts = [np.searchsorted(starts, [base, base + rows]) for starts, _ in wanted]
+        if all(low == high for low, high in parts):
+            continue
+        sums = cumulated(features[base : base + rows + longest])
+        for (starts, length), (low, high), prints in zip(wanted, parts, out):
+            own = starts[low:high] - base
+            ones = sums[own + length] - sums[own]
+            prints[low:high] = np.packbits(2 * ones > length, axis=1).view(np.uint64).ravel()
     return out
 
 
@@ -141,7 +156,7 @@ class Items:
             length = class_of(len(w), sizes)
             features = pairs_of(w) if length > 1 else w
             n = len(w) - length + 1
-            by.setdefault(length, []).append((fingerprints(features, np.arange(n), max(length - 1, 1)), np.full(n, i), np.arange(n)))
+            by.setdefault(length, []).append((fingerprints(features, [(np.arange(n), max(length - 1, 1))])[0], np.full(n, i), np.arange(n)))
         self.indexes = [ClassIndex.build(length, *(np.concatenate(x) for x in zip(*parts))) for length, parts in sorted(by.items())]
 
     def similarity(self, item: int, window: np.ndarray) -> float:
@@ -157,22 +172,27 @@ class Items:
         """(text, item, similarity, start, words, distance) of texts that follow each other, the best per text and item."""
         edges = np.concatenate([[0], np.cumsum(counts)])
         pairs = pairs_of(words) if len(words) > 1 else words
-        aligned: dict[tuple[int, int, int], int] = {}
+        windows = []
         for index in self.indexes:
             n = np.maximum(counts - index.length + 1, 0)
             step = stride(index.length)
             per = (n + step - 1) // step
             text = np.repeat(np.arange(len(counts)), per)
-            starts = edges[text] + step * (np.arange(len(text)) - np.repeat(np.cumsum(per) - per, per))
-            if not len(starts):
-                continue
-            prints = fingerprints(pairs if index.length > 1 else words, starts, max(index.length - 1, 1))
-            query, entry, distance = index.search(prints)
-            for q, e, d in zip(query.tolist(), entry.tolist(), distance.tolist()):
-                key = (int(text[q]), int(index.items[e]), int(starts[q] - index.offsets[e]))
-                aligned[key] = min(d, aligned.get(key, 64))
+            windows.append((index, text, edges[text] + step * (np.arange(len(text)) - np.repeat(np.cumsum(per) - per, per))))
+        # a word alone stands for itself, so windows of one word have features of their own
+        single, several = [w for w in windows if w[0].length == 1], [w for w in windows if w[0].length > 1]
+        prints = fingerprints(words, [(starts, 1) for _, _, starts in single]) + fingerprints(pairs, [(starts, index.length - 1) for index, _, starts in several])
+        hits = [np.empty((4, 0), np.int64)]
+        for (index, text, starts), own in zip(single + several, prints):
+            query, entry, distance = index.search(own)
+            hits.append(np.stack([text[query], index.items[entry], starts[query] - index.offsets[entry], distance.astype(np.int64)]))
+        hits = np.concatenate(hits, axis=1)
+        hits = hits[:, np.lexsort(hits[::-1])]
+        # the nearest hit of each text, item and alignment
+        first = np.ones(hits.shape[1], bool)
+        first[1:] = (hits[:3, 1:] != hits[:3, :-1]).any(axis=0)
         best: dict[tuple[int, int], tuple] = {}
-        for (t, item, start), d in sorted(aligned.items()):
+        for t, item, start, d in hits[:, first].T.tolist():
             size = len(self.words[item])
             low, high = max(start, int(edges[t])), min(start + size, int(edges[t + 1]))
             sim = self.similarity(item, words[low:high])
@@ -222,14 +242,16 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, keep: tuple[str, ...] =
     """One row per row of ``docs`` and item it holds: ``keep``, item_id, similarity, start_word, n_words, distance.
 
     An item is held if a window of its length has a weighted shingle similarity of 0.75 or more; the best window is given.
-    Words are lower-cased. Empty and null texts and items hold nothing; repeated rows are searched each, repeated items give a
+    item_id has the type it has in ``benchmark``. Words are lower-cased. Empty and null texts and items hold nothing; repeated rows are searched each, repeated items give a
     row each. Items come to the driver in slices of bounded size and each slice is one pass over the documents, so a benchmark
     of any size can be used. The similarity's weights are counted over the whole benchmark, so they do not depend on the slices.
     """
     spark = prepare(docs.sparkSession)
     rows = docs.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)], F.col("text").alias("text"))
     kept = [f"k{i}" for i in range(len(keep))]
-    schema = ", ".join([f"{k} {rows.schema[k].dataType.simpleString()}" for k in kept] + ["item_id bigint, similarity double, start_word bigint, n_words bigint, distance int"])
+    schema = ", ".join([f"{k} {rows.schema[k].dataType.simpleString()}" for k in kept] + [f"item_id {benchmark.schema['item_id'].dataType.simpleString()}, similarity double, start_word bigint, n_words bigint, distance int"])
+
+    id_type = to_arrow_type(benchmark.schema["item_id"].dataType)
 
     def passes(shared):
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -240,7 +262,7 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, keep: tuple[str, ...] =
                 if found:
                     t, item, sim, start, n, d = zip(*found)
                     yield pa.RecordBatch.from_arrays(
-                        [*[batch.column(c).take(pa.array(t)) for c in kept], pa.array([items.ids[i] for i in item], pa.int64()), pa.array(sim, pa.float64()),
+                        [*[batch.column(c).take(pa.array(t)) for c in kept], pa.array([items.ids[i] for i in item], id_type), pa.array(sim, pa.float64()),
                          pa.array(start, pa.int64()), pa.array(n, pa.int64()), pa.array(d, pa.int32())],
                         names=[*kept, "item_id", "similarity", "start_word", "n_words", "distance"],
                     )

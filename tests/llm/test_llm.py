@@ -219,6 +219,49 @@ def test_decontamination_does_not_depend_on_slices(spark, monkeypatch):
     assert found[0] and found[0] == found[1] == found[2]
 
 
+def test_decontamination_of_text_ids(spark):
+    item = " ".join(f"w{i}" for i in range(30))
+    benchmark = spark.createDataFrame([("a-1", item), (None, item + " x")], "item_id string, text string")
+    assert {tuple(r) for r in decontamination.find_passages(table(spark, [item]), benchmark).select("doc_id", "item_id").collect()} == {(0, "a-1"), (0, None)}
+
+
+def test_fingerprints():
+    rng = np.random.default_rng(5)
+    features = rng.integers(0, 2**63, 20_000).astype(np.uint64) * np.uint64(2)
+    wanted = [(np.sort(rng.integers(0, 20_000 - n, 50)), n) for n in (1, 2, 9, 128, 9000)] + [(np.array([], np.int64), 3)]
+    for (starts, n), got in zip(wanted, decontamination.fingerprints(features, wanted)):
+        for s, p in zip(starts.tolist(), got.tolist()):
+            ones = np.unpackbits(features[s : s + n].view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0)
+            assert p == int(np.packbits(2 * ones > n).view(np.uint64)[0])
+    assert decontamination.fingerprints(features[:0], [(np.array([], np.int64), 4)])[0].size == 0
+
+
+def test_decontamination_recall_of_edited_items():
+    """All windows of an item's length at similarity 0.75 or more by brute force; the search finds nine of ten pairs at least."""
+    rng = np.random.default_rng(21)
+    texts = [[f"i{k}w{rng.integers(300)}" for _ in range(n)] for k, n in enumerate(rng.integers(6, 160, 60).tolist())]
+    items = decontamination.Items(list(range(60)), [" ".join(x).encode() for x in texts])
+    docs = []
+    for x in texts:
+        for edits in (0, 1, 1, 2, 3, 4):
+            own = list(x)
+            for _ in range(edits):
+                at, kind = int(rng.integers(len(own))), rng.integers(3)
+                own[at : at + 1] = [[f"z{rng.integers(10**6)}"], [], [own[at], "more"]][kind]
+            docs.append(" ".join([f"n{rng.integers(400)}" for _ in range(rng.integers(0, 40))] + own + [f"n{rng.integers(400)}" for _ in range(rng.integers(0, 40))]))
+    words, counts = decontamination.word_hashes([d.encode() for d in docs])
+    edges = np.concatenate([[0], np.cumsum(counts)])
+    want = set()
+    for d in range(len(docs)):
+        own, item = words[edges[d] : edges[d + 1]], d // 6
+        size = len(items.words[item])
+        # windows over an edge of the text are compared too
+        if any(items.similarity(item, own[max(s, 0) : s + size]) >= 0.75 - 1e-11 for s in range(1 - size, len(own))):
+            want.add((d, item))
+    got = {(t, item) for t, item, *_ in items.search(words, counts)}
+    assert got <= want and len(want) > 120 and len(got) >= 0.9 * len(want), (len(got), len(want))
+
+
 def test_hamming_search_finds_all_within_radius():
     rng = np.random.default_rng(3)
     listed = rng.integers(0, 2**63, 200).astype(np.uint64)
