@@ -6,10 +6,13 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from layerlint.operators.prefix import running
 from layerlint.session import prepare, written
 
 PART = 32.0  # largest mean inverted at once; larger means are sums of independent parts
 TERMS = 160  # of the distribution of one part; the rest has less than 1e-40
+BLOCK = 4096  # parts of a document drawn in one row
+SPAN = 65536  # blocks listed by one row
 
 
 def uniform(*parts: Column) -> Column:
@@ -37,7 +40,7 @@ def repetition_rates(docs: DataFrame, weights: Mapping[str | None, float] | None
     sums = sizes.filter("bytes > 0").agg(F.sum("weight").alias("weight"), F.sum("bytes").alias("bytes")).first()
     total = float(total_bytes if total_bytes is not None else sums["bytes"] or 0)
     rate = F.when(F.col("bytes") > 0, F.col("weight") / F.lit(float(sums["weight"] or 1.0)) * F.lit(total) / F.col("bytes")).otherwise(1.0)
-    rates = sizes.withColumn("rate", rate).withColumn("parts", F.greatest(F.ceil(F.col("rate") / PART), F.lit(1)).cast("int")).withColumn("mean", F.col("rate") / F.col("parts"))
+    rates = sizes.withColumn("rate", rate).withColumn("parts", F.greatest(F.ceil(F.col("rate") / PART), F.lit(1)).cast("bigint")).withColumn("mean", F.col("rate") / F.col("parts"))
     # P(X <= k) for k = 0, 1, ...
     start = F.exp(-F.col("mean"))
     steps = F.aggregate(
@@ -51,26 +54,52 @@ def repetition_rates(docs: DataFrame, weights: Mapping[str | None, float] | None
     return written(rates.withColumn("cdf", steps["cdf"]), "mixing-rates")
 
 
+def _blocks(rows: DataFrame) -> DataFrame:
+    """A row per block of ``BLOCK`` parts, numbered ``__group``; listed in two steps, so that no row has a long array."""
+    last = F.floor((F.col("__parts") - 1) / BLOCK)
+    spans = rows.withColumn("__span", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor(last / SPAN))))
+    first = F.col("__span") * SPAN
+    return spans.withColumn("__group", F.explode(F.sequence(first, F.least(first + (SPAN - 1), last)))).drop("__span")
+
+
+def _drawn(rows: DataFrame, seed: str) -> DataFrame:
+    """``__count``: the sum of the draws of the parts in a block."""
+    def draw(part: Column) -> Column:
+        return F.size(F.filter("__cdf", lambda c: c <= uniform(F.lit(seed), part.cast("string"), F.col("__name")))).cast("bigint")
+
+    first = F.col("__group") * BLOCK + 1
+    parts = F.sequence(first, F.least(first + (BLOCK - 1), F.col("__parts")))
+    # the number of the only part is hashed once and not for every term
+    one = F.size(F.filter("__cdf", lambda c: c <= F.col("__u"))).cast("bigint")
+    rows = rows.withColumn("__u", uniform(F.lit(seed), F.lit("1"), F.col("__name")))
+    total = F.aggregate(F.transform(parts, draw), F.lit(0).cast("bigint"), lambda a, b: a + b)
+    return rows.withColumn("__count", F.when(F.col("__parts") == 1, one).otherwise(total)).drop("__u")
+
+
 def replicate(docs: DataFrame, rates: DataFrame, seed: str = "mix", key: str = "doc_id", source: str = "source", text: str = "text", copy: str = "copy_no") -> DataFrame:
     """Each document as many times as a Poisson distribution with its source's rate says, in an order independent of the input.
 
     The count is the inverse of the distribution at a number hashed from seed, key and text, so it is the same in every run
     and on every cluster; repeated rows have equal counts. All columns stay; ``copy`` counts the copies of a row from 0 and
     replaces a column of that name. Rows go to partitions by a hash of document and copy and are sorted by it there: a global
-    shuffle. Null texts hash as empty ones. An empty table gives no rows.
+    shuffle. Null texts hash as empty ones. An empty table gives no rows. A document with very many copies is drawn and listed
+    in blocks that go to different tasks.
     """
     name = F.md5(F.concat_ws(":", F.coalesce(F.col(key).cast("string"), F.lit("")), F.coalesce(F.col(text), F.lit(""))))
     rows = docs.drop(copy).withColumn("__name", name)
-    rows = rows.join(rates.select(F.col("source").alias("__source"), "parts", "cdf").withColumnsRenamed({"parts": "__parts", "cdf": "__cdf"}), F.col(source).eqNullSafe(F.col("__source")))
-    counts = F.transform(
-        F.sequence(F.lit(1), F.col("__parts")),
-        lambda j: F.size(F.filter("__cdf", lambda c: c <= uniform(F.lit(seed), j.cast("string"), F.col("__name")))),
-    )
-    one = F.size(F.filter("__cdf", lambda c: c <= F.col("__u")))
-    rows = rows.withColumn("__u", uniform(F.lit(seed), F.lit("1"), F.col("__name")))
-    rows = rows.withColumn("__count", F.when(F.col("__parts") == 1, one).otherwise(F.aggregate(counts, F.lit(0), lambda a, b: a + b)))
-    rows = rows.filter("__count > 0").drop("__cdf", "__parts", "__source", "__u")
-    rows = rows.withColumn(copy, F.explode(F.sequence(F.lit(0), F.col("__count") - 1))).drop("__count")
+    own = rates.select(F.col("source").alias("__source"), F.col("parts").alias("__parts"), F.col("mean").alias("__mean"), F.col("cdf").alias("__cdf"))
+    rows = rows.join(own, F.col(source).eqNullSafe(F.col("__source"))).drop("__source")
+    if rates.filter(F.col("parts") > BLOCK).isEmpty():
+        rows = _drawn(rows.withColumn("__group", F.lit(0).cast("bigint")), seed).withColumn("__before", F.lit(0).cast("bigint"))
+    else:
+        # rows of one name, number of parts and mean draw the same, so that only these are numbered
+        draw = ["__name", "__parts", "__mean"]
+        many = _drawn(_blocks(rows.filter(F.col("__parts") > BLOCK).select(*draw, "__cdf").dropDuplicates(draw)), seed)
+        till = running(many.select(*draw, "__group", "__count"), draw, "__group", F.floor(F.col("__group") / BLOCK), sums={"__till": "__count"})
+        before = till.select(*draw, "__group", (F.col("__till") - F.col("__count")).alias("__before"))
+        rows = _drawn(_blocks(rows), seed).join(before, [*draw, "__group"], "left").withColumn("__before", F.coalesce("__before", F.lit(0)))
+    rows = rows.filter("__count > 0").drop("__cdf", "__parts", "__mean", "__group")
+    rows = rows.withColumn(copy, F.explode(F.sequence(F.col("__before"), F.col("__before") + F.col("__count") - 1))).drop("__count", "__before")
     place = F.md5(F.concat_ws(":", F.lit(seed), F.lit("place"), F.col("__name"), F.col(copy).cast("string")))
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return rows.withColumn("__place", place).repartition(partitions, "__place").sortWithinPartitions("__place").drop("__place", "__name")

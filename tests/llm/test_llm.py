@@ -379,6 +379,25 @@ def test_mixing_reaches_weights(spark, odd, none):
     assert mixing.mix_sources(docs, {"a": 1.0}).filter("source = 'b'").count() == 0
 
 
+def test_mix_of_a_tiny_source(spark, monkeypatch):
+    """Rates far beyond one part: counts near the mean, copies numbered without gaps, equal with blocks of any size."""
+    rows = [(1, "x", "tiny"), (1, "x", "tiny"), (2, "", "tiny"), (3, None, "tiny"), (4, "many words " * 400, "big"), (5, "x", "null"), (6, "x", "null")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    rates = {r["source"]: r for r in mixing.repetition_rates(docs, {"tiny": 1.0, "big": 1.0}, total_bytes=1e15).collect()}
+    assert rates["tiny"]["parts"] == 2.5e14 / 32 and rates["tiny"]["mean"] == 32 and rates["null"]["rate"] == 0
+    got = []
+    for block, span in ((4096, 65536), (3, 2), (1, 7)):
+        monkeypatch.setattr(mixing, "BLOCK", block)
+        monkeypatch.setattr(mixing, "SPAN", span)
+        got.append(sorted(map(tuple, mixing.mix_sources(docs, {"tiny": 1.0, "big": 1.0}).select("doc_id", "source", "text", "copy_no").collect()), key=str))
+    assert got[0] == got[1] == got[2]
+    copies = Counter((d, s, t) for d, s, t, _ in got[0])
+    # 4402 bytes; the tiny source has 2 of them, so a mean of 1100.5 copies
+    assert all(abs(copies[d, "tiny", t] / w - 1100.5) < 200 for d, t, w in ((1, "x", 2), (2, "", 1), (3, None, 1)))
+    assert {c for d, _, _, c in got[0] if d == 2} == set(range(copies[2, "tiny", ""]))
+
+
+
 def test_mixing_inverts_large_means_in_parts(spark):
     docs = spark.createDataFrame([(i, "x" if i < 50 else "y" * 100, "en", "s" if i < 50 else "t", 1) for i in range(150)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
     n = {r["source"]: r["count"] for r in mixing.mix_sources(docs).groupBy("source").count().collect()}
