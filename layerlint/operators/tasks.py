@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from layerlint import constants as K
 from layerlint.config import SERVICES, Services
+from layerlint.functions.rounding import progress_percentage
 from layerlint.functions.text import build_url
 
 
@@ -99,6 +100,22 @@ def merge_state(saved: Column, update: Column, fields: list[str]) -> Column:
     return F.when(update.isNull(), saved).when(saved.isNull(), update).otherwise(merged)
 
 
+def task_states(saved: DataFrame, updates: DataFrame, fields: list[str], version: str = "version") -> DataFrame:
+    """One row per task that has a saved state or an update: job_id, task_id, ``state`` and ``percentage``.
+
+    ``saved(job_id, task_id, state)`` has at most one row per task, ``updates(job_id, task_id, version, state)`` any number. Updates
+    overlay the saved state field by field in the order of their version (unique in a task): the latest that sets a field wins.
+    Each field is a maximum by version, so a task with very many updates is combined before the shuffle, in any order.
+    ``percentage`` is that of the state's ``progress``, as a whole number; NULL without progress. Updates without version or state set nothing.
+    """
+    set_at = lambda f: F.when(F.col("state")[f].isNotNull(), F.col(version))
+    latest = updates.filter(F.col(version).isNotNull()).groupBy("job_id", "task_id").agg(*[F.max_by(F.col("state")[f], set_at(f)).alias(f) for f in fields])
+    folded = latest.select("job_id", "task_id", F.struct(*fields).alias("__new"))
+    joined = saved.select("job_id", "task_id", F.col("state").alias("__saved")).join(folded, ["job_id", "task_id"], "full")
+    state = merge_state(F.col("__saved"), F.col("__new"), fields)
+    return joined.select("job_id", "task_id", state.alias("state")).withColumn("percentage", progress_percentage(F.col("state.progress.percentage")))
+
+
 def merge_task_params(tasks: DataFrame, verdicts: DataFrame, manifest: DataFrame, services: Services = SERVICES) -> DataFrame:
     """Latest parameters overlaid with summary and verdict, and with the report only where one was published.
 

@@ -14,9 +14,7 @@ from layerlint import constants as K
 from layerlint.config import LIMITS, Limits
 from layerlint.functions.rounding import share_exceeds
 from layerlint.operators.errors import checker_counts
-from layerlint.operators.prefix import running
 from layerlint.operators.schema import check_features
-from layerlint.session import written
 
 # Chunks per block in ordered folds.
 CHUNK_BLOCK = 4096
@@ -220,26 +218,39 @@ def summary_document(summaries: DataFrame, jobs: DataFrame) -> DataFrame:
     return summaries.join(jobs, "job_id").select("job_id", F.concat(header, xml).alias("document"))
 
 
-def running_summary(chunks: DataFrame, totals: DataFrame, limits: Limits = LIMITS) -> DataFrame:
-    """Counters and thresholds after each chunk. ``totals`` gives ``total_features`` per job.
+def _counts_so_far(chunks: DataFrame) -> DataFrame:
+    """Counters up to and with each chunk, ``resolution_exceeded`` so far, and ``holes_basis`` as in ``job_counts``.
 
-    The chunk table, a small part of the features, is stored once and then read by each running fold.
+    One scan over the composite state (sums, flag, small-hole errors at the last chunk with holes): blocks of chunks are scanned
+    in parallel, and one row per block is scanned across them. Both read the chunks of one exchange.
     """
-    chunks = written(chunks, "chunks")
     counted = ["features", *K.COUNTERS, "holes"]
-    steps = chunks.withColumn("res_step", F.col("resolution_exceeded").cast("int"))
-    so_far = running(
-        steps.select("job_id", "chunk_id", "features", *K.COUNTERS, "holes", "res_step"), ["job_id"], "chunk_id", _block(),
-        sums={f"r_{c}": c for c in counted}, maxima={"r_res": "res_step"},
-    )
-    at_holes = so_far.select(
-        "job_id", "chunk_id", *[F.col(f"r_{c}").alias(c) for c in counted], F.col("r_res").alias("res"),
-        F.when(F.col("holes") > 0, F.col("r_smallHoles")).alias("basis_step"),
-    )
-    with_basis = running(at_holes, ["job_id"], "chunk_id", _block(), maxima={"holes_basis": "basis_step"})
-    measured = with_basis.join(totals.select("job_id", "total_features"), "job_id").withColumns({
-        "features_done": F.col("features"), "features": F.col("total_features"), "resolution_exceeded": F.col("res") > 0,
-    })
+    block = F.coalesce(_block(), F.lit(0))
+    here = Window.partitionBy("job_id", "block").orderBy("chunk_id").rowsBetween(Window.unboundedPreceding, 0)
+    inside = (
+        chunks.repartition(F.col("job_id"), block).withColumn("block", block)
+        .select("job_id", "chunk_id", "block", *[F.sum(c).over(here).alias(f"w_{c}") for c in counted],
+                F.max("resolution_exceeded").over(here).alias("w_res"), F.col("holes").alias("step_holes"))
+        .withColumn("w_basis", F.max(F.when(F.col("step_holes") > 0, F.col("w_smallHoles"))).over(here))
+    )
+    # counts only grow, so the largest of a block is that of its end
+    ends = inside.groupBy("job_id", "block").agg(*[F.max(f"w_{c}").alias(f"e_{c}") for c in [*counted, "res", "basis"]])
+    before = Window.partitionBy("job_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (
+        ends.select("job_id", "block", *[F.coalesce(F.sum(f"e_{c}").over(before), F.lit(0)).alias(f"c_{c}") for c in counted],
+                    F.max("e_res").over(before).alias("c_res"), "e_basis")
+        .withColumn("c_basis", F.max(F.col("c_smallHoles") + F.col("e_basis")).over(before)).drop("e_basis")
+    )
+    return inside.join(carried, ["job_id", "block"]).select(
+        "job_id", "chunk_id", *[(F.col(f"c_{c}") + F.col(f"w_{c}")).alias(c) for c in counted],
+        F.greatest("c_res", "w_res").alias("resolution_exceeded"),
+        F.greatest(F.col("c_basis"), F.col("c_smallHoles") + F.col("w_basis")).alias("holes_basis"),
+    )
+
+
+def running_summary(chunks: DataFrame, totals: DataFrame, limits: Limits = LIMITS) -> DataFrame:
+    """Counters and thresholds after each chunk. ``totals`` gives ``total_features`` per job."""
+    measured = _counts_so_far(chunks).drop("features").join(totals.select("job_id", F.col("total_features").alias("features")), "job_id")
     return verdict(thresholds(measured, limits)).select(
         "job_id", "chunk_id", *K.COUNTERS, "holes", "small_geometries_exceeded", "small_holes_exceeded", "resolution_exceeded",
     )

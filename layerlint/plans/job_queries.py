@@ -143,6 +143,28 @@ def _merge_task_params(t: Tables) -> DataFrame:
     return merged.select("job_id", "task_id", F.col("errors_summary.errorsCount.metadata").alias("metadata_errors"), "is_valid", F.col("report.url").alias("report_url"))
 
 
+# a task has many updates; each sets the chunk, the progress, both or nothing
+UPDATES = ["user_id as job_id", "user_id * 10 + event_id % 3 as task_id", "event_id as version", "case when event_id % 4 < 2 then event_id % 50 end as chunk",
+           "case when event_id % 5 < 3 then event_id end as processed", "case when event_id % 5 < 3 then (event_id % 200) / 2.0 end as done"]
+SAVED = ["user_id as job_id", "user_id * 10 + 2 as task_id"]
+
+
+@query("task_states", f"""with updates as (select {', '.join(UPDATES)} from events),
+    folded as (select job_id, task_id, arg_max(chunk, version) filter (where chunk is not null) as chunk, arg_max(processed, version) filter (where processed is not null) as processed,
+      arg_max(done, version) filter (where processed is not null) as done from updates group by 1, 2),
+    saved as (select distinct {', '.join(SAVED)} from events)
+    select coalesce(s.job_id, f.job_id) as job_id, coalesce(s.task_id, f.task_id) as task_id, coalesce(chunk, case when s.task_id is not null then -1 end) as chunk,
+      coalesce(processed, case when s.task_id is not null then 7 end) as processed,
+      cast(floor(coalesce(done, case when s.task_id is not null then 12.5 end) + 0.5) as int) as percentage from saved s full join folded f on f.task_id = s.task_id""")
+def _task_states(t: Tables) -> DataFrame:
+    progress = "if(processed is null, null, named_struct('processed', processed, 'percentage', cast(done as double)))"
+    events = t.table("events")
+    updates = events.selectExpr(*UPDATES).selectExpr("job_id", "task_id", "version", f"named_struct('chunk', chunk, 'progress', {progress}) as state")
+    saved = events.selectExpr(*SAVED).distinct().selectExpr("*", "named_struct('chunk', -1L, 'progress', named_struct('processed', 7L, 'percentage', 12.5D)) as state")
+    states = tasks.task_states(saved, updates, ["chunk", "progress"])
+    return states.select("job_id", "task_id", F.col("state.chunk").alias("chunk"), F.col("state.progress.processed").alias("processed"), "percentage")
+
+
 # --- telemetry ----------------------------------------------------------------------------------
 
 

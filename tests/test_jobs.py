@@ -59,6 +59,17 @@ def test_merge_state(spark):
     assert [tuple(r.s) for r in got] == [(2, "a"), (3, "b"), (4, "c")]
 
 
+def test_task_states_fold_updates_by_version(spark):
+    state = "struct<chunk:int,progress:struct<percentage:double>>"
+    updates = [(1, 1, 5, (None, (49.5,))), (1, 1, 3, (3, (20.0,))), (1, 1, 4, (4, None)), (1, 1, None, (9, (99.0,))), (1, 2, 1, None), (1, 3, 1, (1, None)), (None, 4, 1, (2, (0.4,)))]
+    saved = [(1, 1, (1, (1.0,))), (1, 2, (6, (50.5,))), (2, 9, None)]
+    rows = spark.createDataFrame(updates, f"job_id int, task_id int, version int, state {state}").repartition(4)
+    kept = spark.createDataFrame(saved, f"job_id int, task_id int, state {state}")
+    got = {(r.job_id, r.task_id): (r.state and r.state.chunk, r.percentage) for r in tasks.task_states(kept, rows, ["chunk", "progress"]).collect()}
+    assert got == {(1, 1): (4, 50), (1, 2): (6, 51), (1, 3): (1, None), (2, 9): (None, None), (None, 4): (2, 0)}
+    assert tasks.task_states(kept.limit(0), rows.limit(0), ["chunk", "progress"]).count() == 0
+
+
 def test_url(spark):
     rows = spark.createDataFrame([("http://h:1", "a/b"), ("http://h/x/", "//a")], "b string, r string")
     assert [r.u for r in rows.select(build_url(F.col("b"), F.col("r")).alias("u")).collect()] == ["http://h:1/a/b", "http://h/x/a"]
