@@ -32,10 +32,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    found = decontamination.find_passages(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    held = written(found.select("doc_id").distinct(), "pipeline-contaminated")
-    return docs.join(held, "doc_id", "left_anti").select(*COLUMNS)
+    """Documents that hold no benchmark item.
+
+    Decided by the text, so that every row of a contaminated text goes, with or without id, and no other row of its id.
+    """
+    texts = docs.select(*COLUMNS, F.sha2("text", 256).alias("__text"))
+    found = decontamination.find_passages(texts, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), keep=("__text",))
+    held = written(found.select("__text").distinct(), "pipeline-contaminated")
+    return texts.join(held, "__text", "left_anti").select(*COLUMNS)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -33,6 +33,15 @@ def test_stages(spark):
     assert Counter(r["doc_id"] for r in final.collect()) == Counter(r["doc_id"] for r in mixed.collect())
 
 
+def test_decontamination_by_row(spark):
+    item = next(r["text"] for r in spark.read.parquet(f"{SF}/benchmark.parquet").orderBy("item_id").collect() if r["text"])
+    rows = [(1, "clean words " + "z " * 9), (1, f"before {item} after"), (None, item), (2, item), (2, item), (None, "clean"), (3, None), (4, ""), (5, "w " * 30_000)]
+    docs = spark.createDataFrame([(k, t, "en", "s", 1, "x") for k, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint, __text string")
+    got = pipeline.decontaminate(spark, docs, SF)
+    assert got.columns == list(pipeline.COLUMNS)
+    assert sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=str) == sorted((r for r in rows if not (r[1] and item in r[1])), key=str)
+
+
 def test_run(spark):
     rows = pipeline.run(spark, SF)
     assert rows.count() > 0 and set(pipeline.COLUMNS) <= set(rows.columns)
