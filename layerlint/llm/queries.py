@@ -40,7 +40,9 @@ def op6_pairwise_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix_sources(_table(spark, sf_dir, "documents"))
+    """Copy numbers are ints, as in the SQL; the operator's own are bigints, for documents with more than 2^31 copies."""
+    mixed = mixing.mix_sources(_table(spark, sf_dir, "documents"))
+    return mixed.withColumn("copy_no", F.col("copy_no").cast("int"))
 
 
 def op8_bitmask_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
