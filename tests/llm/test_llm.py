@@ -471,3 +471,24 @@ def test_toxicity(spark, odd, none):
     found = toxicity.score_toxicity(odd, labels).toPandas()
     assert len(found) == odd.count() and found.score.between(0, 1).all()
     assert toxicity.score_toxicity(none, labels).count() == 0 and toxicity.score_toxicity(odd, labels.limit(0)).count() == odd.count()
+
+
+def test_toxicity_ranks_small_tables():
+    rng = np.random.default_rng(5)
+    noise = ["w" + "".join(chr(97 + int(c)) for c in str(i)) for i in range(3000)]
+    toxic = rng.random(600) < 0.15
+    texts = [" ".join([*rng.choice(noise, 150), *([rng.choice(["scumx", "trashx", "clownx", "moronx"])] if t else [])]).encode() for t in toxic]
+    model = toxicity.build_examples(texts[:400], toxic[:400].astype(int), np.arange(400), float(toxic[:400].mean()))
+    scores = np.array([model.score(model.nearest(*model.vector(w, k))) for w, k in toxicity.terms(texts[400:])])
+    held = toxic[400:]
+    assert (scores[held][:, None] > scores[~held]).mean() > 0.95
+
+
+def test_toxicity_fit_does_not_overshoot():
+    # votes that part the labels but for one row in fifty, with rare labels weighed up
+    y = (np.arange(400) % 8 == 0).astype(float)
+    vote = np.where(np.arange(400) % 50 == 3, 1 - y, y)
+    for x in (np.column_stack([np.ones(400), vote, vote * 0.3]), np.column_stack([np.ones(400), y, y * 0.3]), np.column_stack([np.ones(400), y, 1 - y])):
+        slope = toxicity.calibrate(x, y, np.where(y == 1, 0.125 / y.mean(), 1.0) * 1.0, np.array([-2.0, 0.0, 0.0]))
+        scores = x @ slope
+        assert np.isfinite(slope).all() and (slope[1:] >= 0).all() and scores[y == 1].mean() > scores[y == 0].mean() + 1
