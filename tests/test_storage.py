@@ -125,3 +125,16 @@ def test_report_ids_keep_their_zeros(spark, tmp_path):
     path = str(tmp_path / "ids")
     reports.write_report(spark.createDataFrame([("007", 1), ("a-b", 2)], "job_id string, chunk_id int"), path)
     assert sorted(r.job_id for r in reports.read_report(spark, path, job_type="string").collect()) == ["007", "a-b"]
+
+
+def test_report_files_do_not_follow_the_number_of_jobs(spark, tmp_path):
+    path = str(tmp_path / "many")
+    rows = spark.createDataFrame([(i if i else None, f"m{i}") for i in range(300)], "job_id long, e_metadata string")
+    reports.write_report(rows, path, batch="b0")
+    reports.write_report(rows, path, batch="b0")
+    assert len(list((tmp_path / "many").rglob("*.parquet"))) < 50
+    # the repeated batch of one job replaces that job's rows only, and another batch adds to them
+    reports.write_report(spark.createDataFrame([(7, "new")], "job_id long, e_metadata string"), path, batch="b0")
+    reports.write_report(spark.createDataFrame([(7, "more")], "job_id long, e_metadata string"), path, batch="b1")
+    found = sorted((r.job_id or 0, r.e_metadata, r.batch) for r in reports.read_report(spark, path).collect())
+    assert found == sorted([(i, f"m{i}", "b0") for i in range(300) if i != 7] + [(7, "new", "b0"), (7, "more", "b1")])
