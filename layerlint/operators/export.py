@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from layerlint.config import ZOOM_LEVELS, ZoomLevels
 from layerlint.functions.resolution import resolution_meter
+from layerlint.session import spread, written
 
 # The quadtree's root is a square of 2 ** 15 degrees around 0, 0; its smallest cells are 2 ** -17 degrees wide, about a metre.
 # Level 0 has the smallest cells, and each level halves the number of cells per side.
@@ -15,6 +17,8 @@ DEPTH = 32
 FINEST = -17
 # Cells of one size that a box is covered by at most, before whole quads of them become the cell above.
 MOST_CELLS = 16
+# Pairs of a part and a region in the same cell that one task compares, about.
+TASK_PAIRS = 1 << 22
 
 
 def roi_feature_ids(roi: DataFrame, keys: tuple[str, ...], random: bool = False) -> DataFrame:
@@ -92,6 +96,21 @@ def _listed(cover: DataFrame, live: list[int]) -> DataFrame:
     return rows.selectExpr("*", "shiftright(cx, __at - level) as __cx", "shiftright(cy, __at - level) as __cy")
 
 
+def _dealt(ours: DataFrame, theirs: DataFrame, cell: list[str], task_pairs: int | None = None) -> DataFrame:
+    """Both sides joined by cell, in tasks of about ``task_pairs`` pairs: parts of a cell with more are cut by a hash and its regions repeated."""
+    most = task_pairs or TASK_PAIRS
+    counts = ours.groupBy(*cell).agg(F.count(F.lit(1)).alias("__n")).join(theirs.groupBy(*cell).agg(F.count(F.lit(1)).alias("__m")), cell)
+    sizes = written(counts.select(*cell, (F.col("__n") * F.col("__m")).alias("__pairs")), "cell-pairs")
+    pairs = sizes.agg(F.sum(F.col("__pairs").cast("double"))).first()[0] or 0
+    tasks = max(ours.sparkSession.sparkContext.defaultParallelism, math.ceil(pairs / most))
+    hot = sizes.filter(F.col("__pairs") > most).select(*cell, F.ceil(F.col("__pairs") / most).alias("__slices"))
+    slices = F.coalesce("__slices", F.lit(1).cast("bigint"))
+    cut = ours.join(hot, cell, "left").withColumn("__slice", F.pmod(F.xxhash64(*ours.columns), slices)).drop("__slices")
+    repeated = theirs.join(hot, cell, "left").withColumn("__slice", F.explode(F.sequence(F.lit(0).cast("bigint"), slices - 1))).drop("__slices")
+    by = [*cell, "__slice"]
+    return cut.repartition(tasks, *by).join(repeated.repartition(tasks, *by), by).drop("__slice")
+
+
 def roi_candidates(parts: DataFrame, roi: DataFrame, keys: Sequence[str], clip: bool = True) -> DataFrame:
     """Parts whose envelope meets a region's envelope, tagged with its ``roi_id``.
 
@@ -101,19 +120,21 @@ def roi_candidates(parts: DataFrame, roi: DataFrame, keys: Sequence[str], clip:
     Both sides are covered by a bounded number of quadtree cells of mixed sizes. Two cells either share no inner point or one
     holds the other, so a pair is found where the larger one is one of those above the smaller one: each cell is listed at its
     own level and at the larger levels of the other side, and an equality join finds the pairs. A pair that meets in several
-    cells is kept in those that hold the lower left corner of the overlap, of which there is one on each side. The engine
-    broadcasts the regions if they are small and otherwise shuffles by cell, splitting hot ones.
+    cells is kept in those that hold the lower left corner of the overlap, of which there is one on each side.
+
+    The pairs may grow with the product of both sides, whatever the size of the files. So pairs are counted per cell first: there
+    are as many tasks as pairs call for, and the parts of a cell with more than ``TASK_PAIRS`` pairs go to several of them.
     """
     box = ("x0", "y0", "x1", "y1")
-    ours = box_cover(box_pieces(parts.withColumns({c: F.col(c).cast("double") for c in box})))
-    theirs = box_cover(box_pieces(roi.selectExpr("roi_id", *keys, *[f"cast({c} as double) as {c}" for c in box])))
+    ours = written(box_cover(box_pieces(spread(parts).withColumns({c: F.col(c).cast("double") for c in box}))), "part-cells")
+    theirs = written(box_cover(box_pieces(spread(roi).selectExpr("roi_id", *keys, *[f"cast({c} as double) as {c}" for c in box]))), "region-cells")
     # bounded by the depth of the tree
     live = ours.selectExpr("0 as side", "level").union(theirs.selectExpr("1 as side", "level")).distinct().collect()
     our_levels, their_levels = (sorted(r.level for r in live if r.side == side) for side in (0, 1))
     theirs = _listed(theirs, our_levels).selectExpr(*keys, "__at", "__cx", "__cy", "roi_id", *[f"{c} as r_{c}" for c in (*box, "px0", "px1", "piece", "level", "cx", "cy")])
     x, y = "greatest(px0, r_px0)", "greatest(y0, r_y0)"
     corner = " and ".join(f"{_index(at, f'{side}level')} = {side}{c}" for side in ("", "r_") for at, c in ((x, "cx"), (y, "cy")))
-    met = _listed(ours, their_levels).join(theirs, [*keys, "__at", "__cx", "__cy"]).filter(
+    met = _dealt(_listed(ours, their_levels), theirs, [*keys, "__at", "__cx", "__cy"]).filter(
         f"__at = greatest(level, r_level) and px0 <= r_px1 and r_px0 <= px1 and y0 <= r_y1 and r_y0 <= y1 and {corner}"
     )
     if clip:

@@ -173,3 +173,14 @@ def test_a_failed_write_leaves_the_old_layer(spark, tmp_path):
     wider = spark.createDataFrame([(1, 11, "x")], "job_id int, part int, note string")
     layers.write_export_layer(wider, targets.filter("job_id = 1"), path)
     assert sorted((r.layer, r.part, r.note) for r in layers.read_layers(spark, path).collect()) == [("a", 11, "x"), ("b", 20, None)]
+
+
+def test_cells_with_many_pairs_are_dealt_to_several_tasks(spark):
+    parts = spark.createDataFrame([(1 if i % 4 else 2, i) for i in range(200)], "cell int, part int")
+    regions = spark.createDataFrame([(1, i) for i in range(30)] + [(2, 7), (3, 8)], "cell int, region int")
+    dealt = export._dealt(parts, regions, ["cell"], task_pairs=500)
+    assert sorted(map(tuple, dealt.select("part", "region").collect())) == sorted(
+        (i, r) for i in range(200) for r in (range(30) if i % 4 else [7]))
+    # 4,550 pairs in one cell: no task holds nearly all of them
+    sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < 4000
