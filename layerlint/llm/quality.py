@@ -102,10 +102,15 @@ def with_duplicate_lines(rows: DataFrame, text: str, out: str) -> DataFrame:
 def jensen_shannon(p: Column, q: Column) -> Column:
     """Divergence, 0 to 1, of two arrays of counts; null if either is all zero."""
     total = lambda x: F.aggregate(x, F.lit(0.0), lambda s, v: s + v)
-    a, b = F.transform(p, lambda v: v / total(p)), F.transform(q, lambda v: v / total(q))
     term = lambda v, m: F.when(v > 0, v * F.log2(v / m)).otherwise(0.0)
-    terms = F.zip_with(a, b, lambda x, y: (term(x, (x + y) / 2) + term(y, (x + y) / 2)) / 2)
-    return F.when((total(p) > 0) & (total(q) > 0), F.least(F.greatest(total(terms), F.lit(0.0)), F.lit(1.0)))
+
+    def divergence(sums: Column) -> Column:
+        a, b = F.transform(p, lambda v: v / sums["p"]), F.transform(q, lambda v: v / sums["q"])
+        terms = F.zip_with(a, b, lambda x, y: (term(x, (x + y) / 2) + term(y, (x + y) / 2)) / 2)
+        return F.when((sums["p"] > 0) & (sums["q"] > 0), F.least(F.greatest(total(terms), F.lit(0.0)), F.lit(1.0)))
+
+    # totals are bound once: inside the lambdas over the counts they would be summed again for each count
+    return F.transform(F.array(F.struct(total(p).alias("p"), total(q).alias("q"))), divergence)[0]
 
 
 def judge(
@@ -131,8 +136,9 @@ def judge(
     sums = [F.array(*[F.sum(F.col(c)[i]).cast("double") for i in range(k)]).alias(f"{c}_all") for c, k in (("__chars", len(CLASSES)), ("__common", len(WORDS) + 1))]
     references = written(counted.groupBy(F.col("__lang").alias("__of")).agg(*sums), "quality-references")
     judged = counted.join(references, F.col("__lang").eqNullSafe(F.col("__of")))
-    chars = F.when(F.aggregate("__chars", F.lit(0), lambda s, v: s + v) >= least_chars, jensen_shannon(F.col("__chars"), F.col("__chars_all")))
-    common = F.when(F.col("n_words") >= least_words, jensen_shannon(F.col("__common"), F.col("__common_all")))
+    enough = {"chars": F.aggregate("__chars", F.lit(0), lambda s, v: s + v) >= least_chars, "common": F.col("n_words") >= least_words}
+    judged = judged.withColumns({f"__jsd_{c}": F.when(has, jensen_shannon(F.col(f"__{c}"), F.col(f"__{c}_all"))) for c, has in enough.items()})
+    chars, common = F.col("__jsd_chars"), F.col("__jsd_common")
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return judged.select(
         *keep, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),
