@@ -55,7 +55,8 @@ def running_error_counts(errors: DataFrame, watermark: str | None = None, time:
 
 PARTS = 16  # a job's rows go to so many states, so that a job with most rows is not one task
 _COUNTS = ("features", "vertices", "metadata")
-_OUT = "job_id {0}, part int, life timestamp, features bigint, vertices bigint, metadata bigint, ended boolean"
+_DONE = 4  # code of a verdict; other rows have a bit for each fault
+_OUT = "job_id {0}, part int, life bigint, features bigint, vertices bigint, metadata bigint, ended boolean"
 
 
 def counted_jobs(features: DataFrame, ends: DataFrame, delay: str, idle_seconds: int, limits: Limits = LIMITS, parts: int = PARTS) -> DataFrame:
@@ -69,14 +70,11 @@ def counted_jobs(features: DataFrame, ends: DataFrame, delay: str, idle_seconds:
     """
     job = features.schema["job_id"].dataType.simpleString()
     part = F.pmod(F.xxhash64("ordinal"), F.lit(parts)).cast("int")
-    ours = check_features(features, limits).select(
-        "job_id", part.alias("part"), F.col("ts").cast("timestamp").alias("ts"), F.lit(1).cast("bigint").alias("features"),
-        F.col("skipped").cast("bigint").alias("vertices"), F.col("broken").cast("bigint").alias("metadata"), F.lit(False).alias("done"),
-    )
-    zero = F.lit(0).cast("bigint")
+    # one number per row says what it is: each column that goes to the fold costs time per job, however few rows the job has
+    bits = [F.when(F.col(c), F.lit(1 << i)).otherwise(F.lit(0)) for i, c in enumerate(("skipped", "broken"))]
+    ours = check_features(features, limits).select("job_id", part.alias("part"), F.col("ts").cast("timestamp").alias("ts"), (bits[0] + bits[1]).alias("code"))
     marks = ends.select(
-        F.col("job_id").cast(job), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), F.col("ts").cast("timestamp").alias("ts"),
-        *[zero.alias(c) for c in _COUNTS], F.lit(True).alias("done"),
+        F.col("job_id").cast(job), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), F.col("ts").cast("timestamp").alias("ts"), F.lit(_DONE).alias("code"),
     )
 
     def fold(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -84,13 +82,15 @@ def counted_jobs(features: DataFrame, ends: DataFrame, delay: str, idle_seconds:
         ended = state.hasTimedOut
         if not ended:
             for frame in frames:
-                times = frame["ts"].astype("datetime64[us]").astype("int64")
-                given = times[~frame["done"]]
-                if len(given):
-                    life = int(given.min()) if life is None else life
-                    latest = max(latest or 0, int(given.max()))
-                counts = [n + int(frame[c].sum()) for n, c in zip(counts, _COUNTS)]
-                ended = ended or bool(frame["done"].any())
+                code = frame["code"].to_numpy()
+                given = code != _DONE
+                if given.any():
+                    times = frame["ts"].to_numpy().astype("datetime64[us]").astype("int64")[given]
+                    life = int(times.min()) if life is None else life
+                    latest = max(latest or 0, int(times.max()))
+                    code = code[given]
+                    counts = [n + int(more) for n, more in zip(counts, (len(code), (code & 1).sum(), (code >> 1 & 1).sum()))]
+                ended = ended or not given.all()
         if ended:
             state.remove()
         if life is None:  # an end without features
@@ -98,12 +98,15 @@ def counted_jobs(features: DataFrame, ends: DataFrame, delay: str, idle_seconds:
         if not ended:
             state.update((life, latest, *counts))
             state.setTimeoutTimestamp(max(latest // 1000 + idle_seconds * 1000, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame({"job_id": [key[0]], "part": [key[1]], "life": pd.to_datetime([life], unit="us"), **{c: [n] for c, n in zip(_COUNTS, counts)}, "ended": [ended]})
+        yield pd.DataFrame([(key[0], key[1], life, *counts, ended)], columns=names)
 
+    out = _OUT.format(job)
+    names = ["job_id", "part", "life", *_COUNTS, "ended"]
     events = ours.unionByName(marks).withWatermark("ts", delay)
-    return events.groupBy("job_id", "part").applyInPandasWithState(
-        fold, _OUT.format(job), "life bigint, latest bigint, features bigint, vertices bigint, metadata bigint", "update", GroupStateTimeout.EventTimeTimeout,
+    folded = events.groupBy("job_id", "part").applyInPandasWithState(
+        fold, out, "life bigint, latest bigint, features bigint, vertices bigint, metadata bigint", "update", GroupStateTimeout.EventTimeTimeout,
     )
+    return folded.withColumn("life", F.timestamp_micros("life"))
 
 
 def counted_jobs_stream(counted: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
