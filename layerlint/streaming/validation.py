@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -120,6 +121,22 @@ def ended_counts(stored: DataFrame) -> DataFrame:
     return lives.groupBy("job_id").agg(*[F.sum(c).alias(c) for c in _COUNTS], F.min("ended").alias("ended"))
 
 
+@contextmanager
+def states_by_cores(spark: SparkSession) -> Iterator[None]:
+    """Streams started inside keep their state in two partitions per core, or fewer if the session has fewer.
+
+    Every batch reads, commits and writes files for each state partition, however few of the jobs it touches. A started stream has
+    its own copy of the settings, and a restarted one keeps the number of its checkpoint.
+    """
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(before), 2 * spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def _stored(rows: DataFrame, path: str, checkpoint: str, trigger: dict) -> StreamingQuery:
     def store(batch: DataFrame, batch_id: int) -> None:
         (
@@ -127,7 +144,8 @@ def _stored(rows: DataFrame, path: str, checkpoint: str, trigger: dict) -> Strea
             .option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path)
         )
 
-    return rows.writeStream.outputMode("update").foreachBatch(store).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+    with states_by_cores(rows.sparkSession):
+        return rows.writeStream.outputMode("update").foreachBatch(store).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
 
 def running_counts_stream(features: DataFrame, path: str, checkpoint: str, limits: Limits = LIMITS, **trigger) -> StreamingQuery:
