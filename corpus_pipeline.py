@@ -36,10 +36,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
     Decided by the text, so that every row of a contaminated text goes, with or without id, and no other row of its id.
     """
-    texts = docs.select(*COLUMNS, F.sha2("text", 256).alias("__text"))
-    found = decontamination.find_passages(texts, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), keep=("__text",))
-    held = written(found.select("__text").distinct(), "pipeline-contaminated")
-    return texts.join(held, "__text", "left_anti").select(*COLUMNS)
+    return decontamination.without_passages(docs.select(*COLUMNS), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -276,3 +276,27 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, keep: tuple[str, ...] =
     if out is None:
         out = spark.createDataFrame([], schema)
     return out.withColumnsRenamed(dict(zip(kept, keep)))
+
+
+def without_passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """Rows of ``docs`` for which ``find_passages`` has no row, by the same search.
+
+    What a row holds depends on its text alone, so each row is kept or left out where it is read: nothing is joined or shuffled. The
+    slices of the benchmark follow each other, and a row that is left out by one is not searched by the next.
+    """
+    spark = prepare(docs.sparkSession)
+
+    def clean(shared):
+        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            items = shared.value
+            for batch in slices(batches, "text", 1 << 19):
+                words, counts = word_hashes(utf8(batch.column("text")))
+                free = np.ones(batch.num_rows, bool)
+                free[[t for t, *_ in items.search(words, counts)]] = False
+                yield batch.filter(pa.array(free))
+
+        return run
+
+    for items in item_batches(benchmark):
+        docs = docs.mapInArrow(clean(spark.sparkContext.broadcast(items)), docs.schema)
+    return docs
