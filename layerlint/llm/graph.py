@@ -12,10 +12,11 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
 
     Every round each key takes the smallest label among its neighbours and then the label of that label, so the number of
     rounds grows with the logarithm of the longest path. Each round is stored in the shared folder: a lost executor costs
-    only its part of one round. Links of a key to itself give a component of one.
+    only its part of one round. Links of a key to itself give a component of one. ``links`` should be a stored table, as
+    every round reads it; a link may come twice or from both ends.
     """
-    both = written(links.select("a", "b").union(links.select("b", "a")).distinct(), name)
-    labels = written(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("label")), name)
+    both = links.select("a", "b").union(links.select("b", "a"))
+    labels = both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("label"))
     while True:
         near = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("label").alias("near"))
         moved = labels.join(near, F.col("node") == F.col("a")).select("node", "label", F.least("label", "near").alias("new"))

@@ -12,8 +12,8 @@
 4. The matrix has a row (shingle, group) per shingle of a group's union. A node queries all other groups that its prefix meets.
    A group opens only if the shingles of the query that its union lacks are few enough for a link and if lengths agree.
 5. The query is compared with the members of opened groups exactly, on whole sets, in rounds: the first asks about four members
-   of each group, and each later one three times as many as all before it. A link joins two groups, and what lies inside one component is
-   not asked again. So a query that has many links into a large loose group meets a few of its members and not all. A member
+   of each group, and each later one fifteen times as many as all before it. A link joins two groups, and what lies inside one component is
+   not asked again; groups joined in a round go by one name from then on, so a round only looks at its own links. So a query that has many links into a large loose group meets a few of its members and not all. A member
    is met only through a prefix shingle that leaves both sets room for enough common ones.
 
 Every link between different groups passes 4 and 5, links inside a group cannot change components, so components are exact.
@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -283,7 +284,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     many = asked.filter("members > 1").select("node", "n", "other")
     asking = written(many.select("node").distinct(), "jaccard-asking")
     asked_of = many.select("other").distinct()
-    union = known.join(groups, "node", "left").select("token", F.coalesce("grp", "node").alias("other")).join(asked_of, "other", "left_semi").distinct()
+    # members of those groups, not their shingles, are looked for by group: a large group has many shingles
+    inside = members.select("node", F.col("grp").alias("other")).join(asked_of, "other", "left_semi")
+    union = known.join(inside, "node").select("token", "other").distinct()
     hits = known.join(asking, "node").select("node", "token").join(many, "node").join(union, ["token", "other"]).groupBy("node", "other").agg(F.count(F.lit(1)).alias("hits"))
     # shingles of the query that the union lacks, of the lower part only: a lower bound of all. A short query may have none
     # there in common, or none at all, and still pass
@@ -291,29 +294,34 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
         many.join(hits, ["node", "other"], "left").fillna(0, ["hits"]).join(state.select("node", "near", "most"), "node")
         .filter(F.col("near") - F.col("hits") <= F.col("most") - 1).select("node", "other")
     )
-    single = asked.filter("members = 1").select(F.col("node").alias("a"), F.col("other").alias("b"), "grp", "other")
+    # one and two: what the groups of a pair are called by now
+    single = asked.filter("members = 1").select(F.col("node").alias("a"), F.col("other").alias("b"), F.col("grp").alias("one"), F.col("other").alias("two"))
     similar = written(_similar(single, sets, percent), "jaccard-single")
-    waiting = asked.filter("members > 1").join(passed, ["node", "other"]).select("node", "grp", "other")
-    # a group's members in the order of a hash: round k asks those before place 4, 16, 64, ... that no round before it asked
+    waiting = asked.filter("members > 1").join(passed, ["node", "other"]).select("node", "other", F.col("grp").alias("one"), F.col("other").alias("two"))
+    # a group's members in the order of a hash: round k asks those before place 4, 64, 1024, ... that no round before it asked
     place = F.pmod(F.xxhash64(F.lit("turn"), "node"), F.lit(1 << 32)) / F.lit(float(1 << 32)) * F.col("members")
-    turn = F.greatest(F.floor(F.log2(place) / 2), F.lit(0)).cast("int")
+    turn = F.greatest(F.floor((F.log2(place) + 2) / 4), F.lit(0)).cast("int")
     turn = F.when(F.col("members") > 4, F.coalesce(turn, F.lit(0))).otherwise(0)
     hit = through.filter("members > 1")
     mates = member.select("token", F.col("grp").alias("other"), "node", "n", "room").join(hit.select("token", "other", "members").distinct(), ["token", "other"])
     mates = written(mates.select("token", "other", F.col("node").alias("b"), F.col("n").alias("m"), F.col("room").alias("rest"), turn.alias("turn")), "jaccard-mates")
     fits = (100 + percent) * F.least("room", "rest") >= percent * (F.col("n") + F.col("m"))
+    renamed: list[DataFrame] = []  # (node, component): old and new name of what was joined, one table per round with links
+
+    def joined(waiting: DataFrame, similar: DataFrame) -> DataFrame:
+        """The pairs that still wait, by the names that their groups have after the links of ``similar``."""
+        if similar.isEmpty():
+            return waiting
+        names = components(similar.select(F.col("one").alias("a"), F.col("two").alias("b")), "jaccard-tied")
+        renamed.append(names)
+        for name in ("one", "two"):
+            waiting = waiting.join(names.select(F.col("node").alias(name), "component"), name, "left").withColumn(name, F.coalesce("component", name)).drop("component")
+        return waiting.filter("one != two").select("node", "other", "one", "two")
+
+    waiting = joined(waiting, similar)
     rounds = mates.agg(F.max("turn")).first()[0]
-    tied = None
     for k in range(0 if rounds is None else rounds + 1):
-        links = links.union(similar.select("a", "b"))
-        pairs = similar.select(F.col("grp").alias("a"), F.col("other").alias("b"))
-        tied = pairs if tied is None else tied.union(pairs)
-        label = components(tied, "jaccard-tied")
-        one, two = label.select(F.col("node").alias("grp"), F.col("component").alias("one")), label.select(F.col("node").alias("other"), F.col("component").alias("two"))
-        waiting = written(
-            waiting.join(one, "grp", "left").join(two, "other", "left").filter(F.coalesce("one", "grp") != F.coalesce("two", "other")).select("node", "grp", "other"),
-            "jaccard-waiting",
-        )
+        waiting = written(waiting, "jaccard-waiting")
         if waiting.isEmpty():
             break
         now = mates.filter(F.col("turn") == k).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
@@ -321,11 +329,18 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
         asker = hit.select("node", "n", "room", "token", "other", part.alias("part")).join(waiting, ["node", "other"]).alias("q")
         same = (F.col("q.token") == F.col("mate.token")) & (F.col("q.other") == F.col("mate.other")) & (F.col("q.part") == F.col("mate.part"))
         alike = (100 * F.col("n") >= percent * F.col("m")) & (100 * F.col("m") >= percent * F.col("n"))
-        tried = asker.join(now.alias("mate"), same & alike & fits).select(F.col("node").alias("a"), "b", "grp", "q.other").distinct()
+        tried = asker.join(now.alias("mate"), same & alike & fits).select(F.col("node").alias("a"), "b", "one", "two").distinct()
         similar = written(_similar(tried, sets, percent), "jaccard-links")
-    links = links.union(similar.select("a", "b"))
-
-    found = components(links, "jaccard-components")
+        waiting = joined(waiting, similar)
+
+    found = members.select("node", F.col("grp").alias("component"))
+    if renamed:
+        last = reduce(DataFrame.union, [names.select("node") for names in renamed]).distinct().withColumn("last", F.col("node"))
+        for names in renamed:
+            last = last.join(names.select(F.col("node").alias("last"), "component"), "last", "left").select("node", F.coalesce("component", "last").alias("last"))
+        last = last.select(F.col("node").alias("component"), "last")
+        found = found.join(last, "component", "left").select("node", F.coalesce("last", "component").alias("component"))
+    found = written(found, "jaccard-components")
     best = nodes.join(found, "node").groupBy("component").agg(F.min("first_key").alias("component_id"))
     # texts without a link have the first key of their copies
     ids = nodes.join(found.join(best, "component").select("node", "component_id"), "node", "left").select("node", F.coalesce("component_id", "first_key").alias("component_id"))

@@ -177,6 +177,39 @@ def test_jaccard_large_loose_group(spark):
     assert 1 < len({c for _, _, c in got}) < 200
 
 
+def test_jaccard_rounds_take_new_links_only(spark, monkeypatch):
+    """A round joins what its own links join, by the names of the groups by then: no link of an earlier round comes again."""
+    rng = np.random.default_rng(5)
+    base, texts = [f"b{i}" for i in range(160)], []
+    for _ in range(240):
+        words = list(base)
+        for at in rng.choice(160, int(rng.integers(0, 9)), replace=False):
+            words[at] = f"x{rng.integers(0, 40)}"
+        texts.append(" ".join(words))
+    calls = []
+
+    def spy(links, name):
+        calls.append({tuple(sorted(r)) for r in links.select("a", "b").collect()})
+        return components(links, name)
+
+    monkeypatch.setattr(jaccard, "components", spy)
+    got = [(r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard.near_duplicates(table(spark, texts)).collect()]
+    assert sorted(got) == sorted(brute_components(list(enumerate(texts))))
+    rounds = calls[1:]  # the first call makes the groups
+    assert len(rounds) > 1 and sum(map(len, rounds)) == len(set().union(*rounds))
+
+
+def test_graph_components_of_a_star_stores_two_rounds(spark, monkeypatch):
+    from layerlint.llm import graph
+    from layerlint.session import written
+
+    stored = []
+    monkeypatch.setattr(graph, "written", lambda rows, name: stored.append(name) or written(rows, name))
+    links = written(spark.createDataFrame([(7, i) for i in range(1, 40)] + [(3, 7), (7, 7)], "a bigint, b bigint"), "star")
+    found = {r["node"]: r["component"] for r in components(links, "labels").collect()}
+    assert found == {i: 1 for i in range(1, 40)} and len(stored) <= 2
+
+
 def test_graph_components(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 101), (102, 101), (200, 200)]
     found = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
