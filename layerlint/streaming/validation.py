@@ -5,7 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -54,10 +57,16 @@ def running_error_counts(errors: DataFrame, watermark: str | None = None, time:
     return errors.withWatermark(time, watermark).groupBy("job_id", F.window(time, "1 day").alias("day")).agg(*counts)
 
 
-PARTS = 16  # a job's rows go to so many states, so that a job with most rows is not one task
+PARTS = 16  # a job's rows go to so many parts, so that a job with most rows is not one task
+# Parts of all jobs are dealt to so many states: each call of the fold and each state costs milliseconds, however few rows it has.
+# A checkpoint goes with the number.
+SLOTS = 1024
 _COUNTS = ("features", "vertices", "metadata")
 _DONE = 4  # code of a verdict; other rows have a bit for each fault
-_OUT = "job_id {0}, part int, life bigint, features bigint, vertices bigint, metadata bigint, ended boolean"
+_KEY = ["job", "part"]
+# life and deadline are those of an open part, began and latest the times of rows, fresh tells that this batch has rows
+_MERGED = {"life": "min", "deadline": "min", "began": "min", "latest": "max", **{c: "sum" for c in _COUNTS}, "done": "max", "fresh": "max"}
+_OUT = "job {0}, part int, life bigint, features bigint, vertices bigint, metadata bigint, ended boolean"
 
 
 def counted_jobs(features: DataFrame, ends: DataFrame, delay: str, idle_seconds: int, limits: Limits = LIMITS, parts: int = PARTS) -> DataFrame:
@@ -67,11 +76,14 @@ def counted_jobs(features: DataFrame, ends: DataFrame, delay: str, idle_seconds:
     verdict. A job's state is dropped at that row, or once the watermark (``delay`` behind the latest time) has passed its last
     feature by ``idle_seconds``, whatever the day. Features that come later begin another ``life`` of the job, named by its
     first time; ``ended_counts`` adds lives and parts up, so nothing is lost by an early end. Rows (job_id, part, life,
-    counters so far, ended) come out in update mode.
+    counters so far, ended) come out in update mode. Open parts are kept together in a bounded number of states, each a table
+    with a row per part, and a state without rows is dropped.
     """
     job = features.schema["job_id"].dataType.simpleString()
+    # numbers with a null would go to Python as floats; a part below zero says that the job is null
+    sent, stand_in = ("bigint", F.lit(0)) if job in ("tinyint", "smallint", "int", "bigint") else ("string", F.lit(""))
     part = F.pmod(F.xxhash64("ordinal"), F.lit(parts)).cast("int")
-    # one number per row says what it is: each column that goes to the fold costs time per job, however few rows the job has
+    # one number per row says what it is: each column that goes to the fold costs time
     bits = [F.when(F.col(c), F.lit(1 << i)).otherwise(F.lit(0)) for i, c in enumerate(("skipped", "broken"))]
     ours = check_features(features, limits).select("job_id", part.alias("part"), F.col("ts").cast("timestamp").alias("ts"), (bits[0] + bits[1]).alias("code"))
     marks = ends.select(
@@ -79,35 +91,66 @@ def counted_jobs(features: DataFrame, ends: DataFrame, delay: str, idle_seconds:
     )
 
     def fold(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        life, latest, *counts = state.get if state.exists else (None, None, 0, 0, 0)
-        ended = state.hasTimedOut
-        if not ended:
+        watermark = state.getCurrentWatermarkMs()
+        open_parts = pa.ipc.open_stream(state.get[0]).read_all() if state.exists else None
+        if not state.hasTimedOut:
             for frame in frames:
-                code = frame["code"].to_numpy()
-                given = code != _DONE
-                if given.any():
-                    times = frame["ts"].to_numpy().astype("datetime64[us]").astype("int64")[given]
-                    life = int(times.min()) if life is None else life
-                    latest = max(latest or 0, int(times.max()))
-                    code = code[given]
-                    counts = [n + int(more) for n, more in zip(counts, (len(code), (code & 1).sum(), (code >> 1 & 1).sum()))]
-                ended = ended or not given.all()
-        if ended:
-            state.remove()
-        if life is None:  # an end without features
+                open_parts = _merged(_arrived(frame), open_parts)
+        if open_parts is None:
             return
-        if not ended:
-            state.update((life, latest, *counts))
-            state.setTimeoutTimestamp(max(latest // 1000 + idle_seconds * 1000, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame([(key[0], key[1], life, *counts, ended)], columns=names)
+        open_parts = open_parts.filter(pc.is_valid(pc.coalesce(open_parts["life"], open_parts["began"])))  # others are ends without features
+        life, fresh = pc.coalesce(open_parts["life"], open_parts["began"]), open_parts["fresh"].to_numpy()
+        latest = np.maximum(open_parts["latest"].to_numpy(), 0)
+        deadline = np.where(fresh, np.maximum(latest // 1000 + idle_seconds * 1000, watermark + 1), pc.fill_null(open_parts["deadline"], 0).to_numpy())
+        ended = open_parts["done"].to_numpy() | (~fresh & (deadline < watermark))
+        told = open_parts.select([*_KEY, *_COUNTS]).append_column("life", life).append_column("ended", pa.array(ended)).filter(pa.array(fresh | ended))
+        nothing = np.zeros(len(life), bool)
+        left = pa.table({
+            **{c: open_parts[c] for c in [*_KEY, *_COUNTS]}, "life": life, "deadline": deadline, "began": pa.nulls(len(life), pa.int64()), "latest": latest,
+            "done": nothing, "fresh": nothing,
+        }).filter(pa.array(~ended))
+        if len(left):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, left.schema) as out:
+                out.write_table(left.combine_chunks())
+            state.update((sink.getvalue().to_pybytes(),))
+            state.setTimeoutTimestamp(pc.min(left["deadline"]).as_py())
+        elif state.exists:
+            state.remove()
+        yield told.select(names).to_pandas()
 
-    out = _OUT.format(job)
-    names = ["job_id", "part", "life", *_COUNTS, "ended"]
+    out = _OUT.format(sent)
+    names = ["job", "part", "life", *_COUNTS, "ended"]
     events = ours.unionByName(marks).withWatermark("ts", delay)
-    folded = events.groupBy("job_id", "part").applyInPandasWithState(
-        fold, out, "life bigint, latest bigint, features bigint, vertices bigint, metadata bigint", "update", GroupStateTimeout.EventTimeTimeout,
+    slots = events.select(
+        F.pmod(F.xxhash64("job_id", "part"), F.lit(SLOTS)).cast("int").alias("slot"), F.coalesce(F.col("job_id").cast(sent), stand_in).alias("job"),
+        F.when(F.col("job_id").isNull(), -1 - F.col("part")).otherwise(F.col("part")).alias("part"), "ts", "code",
     )
-    return folded.withColumn("life", F.timestamp_micros("life"))
+    folded = slots.groupBy("slot").applyInPandasWithState(fold, out, "parts binary", "update", GroupStateTimeout.EventTimeTimeout)
+    given = F.col("part") >= 0
+    return folded.select(
+        F.when(given, F.col("job")).cast(job).alias("job_id"), F.when(given, F.col("part")).otherwise(-1 - F.col("part")).alias("part"),
+        F.timestamp_micros("life").alias("life"), *_COUNTS, "ended",
+    )
+
+
+def _arrived(frame: pd.DataFrame) -> pa.Table:
+    """Rows of a batch as parts of one row each."""
+    code = frame["code"].to_numpy()
+    done = code == _DONE
+    times = pa.array(frame["ts"].to_numpy().astype("datetime64[us]").astype("int64"), mask=done)
+    none = pa.nulls(len(code), pa.int64())
+    return pa.table({
+        "job": pa.array(frame["job"]), "part": pa.array(frame["part"]), "features": (~done).astype("int64"), "vertices": (code & 1).astype("int64"),
+        "metadata": (code >> 1 & 1).astype("int64"), "life": none, "deadline": none, "began": times, "latest": times, "done": done, "fresh": np.ones(len(code), bool),
+    })
+
+
+def _merged(arrived: pa.Table, others: pa.Table | None) -> pa.Table:
+    """One row per part."""
+    both = arrived if others is None else pa.concat_tables([arrived, others.select(arrived.column_names)])
+    found = both.group_by(_KEY, use_threads=False).aggregate(list(_MERGED.items()))
+    return found.select([*_KEY, *[f"{c}_{how}" for c, how in _MERGED.items()]]).rename_columns([*_KEY, *_MERGED])
 
 
 def counted_jobs_stream(counted: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
