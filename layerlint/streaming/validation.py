@@ -60,7 +60,7 @@ def running_error_counts(errors: DataFrame, watermark: str | None = None, time:
 PARTS = 16  # a job's rows go to so many parts, so that a job with most rows is not one task
 # Parts of all jobs are dealt to so many states: each call of the fold and each state costs milliseconds, however few rows it has.
 # A checkpoint goes with the number.
-SLOTS = 1024
+SLOTS = 512
 _COUNTS = ("features", "vertices", "metadata")
 _DONE = 4  # code of a verdict; other rows have a bit for each fault
 _KEY = ["job", "part"]
